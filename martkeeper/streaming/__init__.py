@@ -1,0 +1,5 @@
+"""Intentionally empty: every dataset of the mart is recomputed in batch.
+
+The grant sweep that is meant to run every few minutes is a batch job as well
+(``martkeeper.operators.grants``), so there is no stream, watermark or state to express.
+"""
