@@ -9,17 +9,24 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
-
 def col(c: str | Column) -> Column:
     """A column from a name, or the column itself."""
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: str | Column) -> Column:
-    """Exact two-digit amount. Sums of it do not depend on the order of the rows."""
-    return col(c).cast(MONEY)
+def units(c: str | Column, digits: int = 2) -> Column:
+    """A double that holds ``digits`` decimals, as a whole number of its smallest units.
+
+    Sums of whole numbers are exact in any order of the rows, and much cheaper than converting
+    every value to a decimal. Convert the sums with :func:`from_units`.
+    """
+    return F.floor(col(c) * 10**digits + F.lit(0.5))
+
+
+def from_units(c: str | Column, digits: int, precision: int = 18) -> Column:
+    """Exact decimal from a sum of smallest units."""
+    step = F.lit(Decimal(1).scaleb(-digits))
+    return (col(c).cast("decimal(19,0)") * step).cast(f"decimal({precision},{digits})")
 
 
 def flag(condition: Column) -> Column:

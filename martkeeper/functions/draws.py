@@ -63,5 +63,7 @@ def chance(key: str | Column, purpose: str, percent: int) -> Column:
 
 
 def padded_key(prefix: str, number: str | Column, width: int = 6) -> Column:
-    """Zero-padded key such as ``PAT-000042``."""
-    return F.format_string(f"{prefix}-%0{width}d", col(number).cast("bigint"))
+    """Zero-padded key such as ``PAT-000042``; longer numbers are kept whole."""
+    digits = col(number).cast("bigint").cast("string")
+    padded = F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
+    return F.concat(F.lit(f"{prefix}-"), padded)

@@ -13,6 +13,7 @@ def dedup_latest(
     keys: Sequence[str],
     order_by: Sequence[str] = ("_loaded_at",),
     tiebreak: Sequence[str] | None = None,
+    by_digest: bool = False,
 ) -> DataFrame:
     """Keep the newest row per key.
 
@@ -22,12 +23,17 @@ def dedup_latest(
     ``tiebreak``.
 
     Spark turns the ``row number = 1`` filter into a limit per key on the map side, so a key with
-    a large share of the rows sends one row per map task through the shuffle.
+    a large share of the rows sends one row per map task through the shuffle. ``by_digest`` groups
+    by the SHA-256 of the whole key, so wide keys such as texts are not shuffled or sorted.
     """
     rest = tiebreak if tiebreak is not None else _others(df, [*keys, *order_by])
     order: list[Column] = [F.desc_nulls_last(c) for c in order_by]
     order += [F.asc_nulls_last(c) for c in rest]
-    spec = Window.partitionBy(*keys).orderBy(*(order or [F.asc(keys[0])]))
+    if by_digest:
+        group = [F.sha2(F.coalesce(F.col(k).cast("string"), F.lit("\0")), 256) for k in keys]
+    else:
+        group = [F.col(k) for k in keys]
+    spec = Window.partitionBy(*group).orderBy(*(order or [F.asc(keys[0])]))
     return df.withColumn("_rn", F.row_number().over(spec)).filter("_rn = 1").drop("_rn")
 
 

@@ -124,28 +124,44 @@ def audit_rows(
     )
 
 
+COPIES_PER_STEP = 100_000
+
+
 def with_audit_id(rows: DataFrame, after: int | Column = 0) -> DataFrame:
     """Number rows ``after + 1`` onward, in an order given by the rows alone.
 
-    Rows are numbered within 4,096 even groups (a digest of the row picks the group); the groups'
-    offsets are a running sum of 4,096 counts. No task holds more than a group, and a rerun gives
-    every row the same id.
+    Equal rows are counted first, so any number of copies is one row in the shuffle. Distinct rows
+    are placed within 4,096 even groups (a digest of the row picks the group), and the groups'
+    offsets are a running sum of 4,096 counts. Copies are then written out again in steps of
+    bounded size. No task holds more than a group, and a rerun gives equal ids.
     """
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]
-    keyed = rows.withColumn("_digest", F.md5(F.concat_ws("|", *parts))).withColumn(
-        "_group", F.substring("_digest", 1, 3)
+    counted = (
+        rows.groupBy(*rows.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_digest", F.md5(F.concat_ws("|", *parts)))
+        .withColumn("_group", F.substring("_digest", 1, 3))
+    )
+    per_group = counted.groupBy("_group").agg(F.sum("_copies").alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")
+    offsets = per_group.select("_group", earlier.alias("_offset"))
+    within = Window.partitionBy("_group").orderBy("_digest", *rows.columns)
+    before = F.sum("_copies").over(within) - F.col("_copies")
+    steps = F.sequence(
+        F.lit(0), F.floor((F.col("_copies") - 1) / COPIES_PER_STEP).cast("bigint")
     )
-    offsets = (
-        keyed.groupBy("_group")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_group", (F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")).alias("_offset")
-        )
+    placed = (
+        counted.withColumn("_before", before)
+        .join(offsets, "_group")
+        .withColumn("_step", F.explode(steps))
     )
+    first = F.col("_step") * COPIES_PER_STEP
+    last = F.least(F.col("_copies"), first + COPIES_PER_STEP) - 1
     after = F.lit(after) if isinstance(after, int) else after
-    place = F.row_number().over(Window.partitionBy("_group").orderBy("_digest"))
-    return keyed.withColumn("_place", place).join(offsets, "_group").select(
-        (after + F.col("_offset") + F.col("_place")).cast("bigint").alias("audit_id"),
+    return placed.withColumn("_copy", F.explode(F.sequence(first, last))).select(
+        (after + F.col("_offset") + F.col("_before") + F.col("_copy") + 1)
+        .cast("bigint")
+        .alias("audit_id"),
         *rows.columns,
     )
 

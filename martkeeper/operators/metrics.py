@@ -6,6 +6,7 @@ and distinct counts are never derived from a finer result, because they are not
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -25,8 +26,8 @@ class MetricError(ValueError):
 class Join:
     """Many-to-one join of the source to another table, usable as ``name.column``.
 
-    ``on`` is written as ``source.k = name.k``. The join is a left join, so the source's rows
-    decide the measures.
+    ``on`` is written as ``source.k = name.k``. The join is a left join to one row per key, so the
+    source's rows decide the measures, and a question that names none of its columns skips it.
     """
 
     name: str
@@ -102,7 +103,7 @@ class MetricCatalog:
         _known(view.name, "dimension", dims, view.dimensions)
         if not measures:
             raise MetricError(f"{view.name}: at least one measure is needed")
-        rows = self._rows(view)
+        rows = self._rows(view, _used_joins(view, measures, dims, where))
         if where is not None:
             rows = _apply_where(view, rows, where)
         # Grouped under internal names: a dimension often differs from a source column by case
@@ -141,7 +142,7 @@ class MetricCatalog:
             raise MetricError(f"{name} declares no join")
         return out
 
-    def _rows(self, view: MetricView) -> DataFrame:
+    def _rows(self, view: MetricView, joins: Sequence[Join] | None = None) -> DataFrame:
         """Source rows after the declared filter and joins.
 
         A joined table is packed into a struct named after the join, so ``name.column`` resolves
@@ -150,7 +151,7 @@ class MetricCatalog:
         rows = self.tables.get(view.source).alias("source")
         if view.filter:
             rows = rows.filter(view.filter)
-        for j in view.joins:
+        for j in view.joins if joins is None else joins:
             packed = self.tables.get(j.source).select(F.struct("*").alias(j.name))
             rows = rows.join(packed, F.expr(j.on), "left")
         return rows
@@ -202,6 +203,23 @@ def _known(view: str, what: str, asked: Sequence[str], declared: Mapping[str, st
         raise MetricError(f"{view}: unknown {what} {unknown}")
 
 
+def _used_joins(
+    view: MetricView, measures: Sequence[str], dims: Sequence[str], where: Where | None
+) -> list[Join]:
+    """Joins whose name occurs in an expression of the question."""
+    if where is not None and not isinstance(where, Mapping):
+        return list(view.joins)
+    texts = [view.measures[m] for m in measures] + [view.dimensions[d] for d in dims]
+    texts += [view.dimensions[d] for d in where or {} if d in view.dimensions]
+    texts.append(view.filter or "")
+    used: list[Join] = []
+    for j in reversed(view.joins):
+        if any(re.search(rf"\b{re.escape(j.name)}\b\s*`?\.", t) for t in texts):
+            used.insert(0, j)
+            texts.append(j.on.split("=")[0])
+    return used
+
+
 def _apply_where(view: MetricView, rows: DataFrame, where: Where) -> DataFrame:
     if isinstance(where, Mapping):
         _known(view.name, "dimension", list(where), view.dimensions)

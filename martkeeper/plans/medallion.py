@@ -36,6 +36,17 @@ PAYER_SEGMENTS = {"DME": "Medicare", "Pharmacy": "Commercial", "DTC": "Cash-pay"
 HIGH_VALUE_USD = 500
 SOURCE_NAME = "foundation"
 
+RAW_CLAIM = [
+    "patient_id",
+    "claim_date",
+    "claim_type",
+    "channel",
+    "product_line",
+    "product_sku",
+    "claim_amount_usd",
+    "units",
+]
+
 GOLD_REVENUE = [
     "patient_id",
     "month",
@@ -245,9 +256,13 @@ def gold_patients(
 
 
 def gold_claims(claims: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """One row per placement or shipment claim, with months since the patient's placement."""
+    """One row per placement or shipment claim, with months since the patient's placement.
+
+    Versions of a claim with equal load time are ordered by the raw columns; the derived ones
+    follow from these.
+    """
     wanted = claims.filter(F.col("claim_type").isin(PLACEMENT, SHIPMENT))
-    kept = dedup_latest(wanted, ["claim_id"], tiebreak=tiebreak)
+    kept = dedup_latest(wanted, ["claim_id"], tiebreak=tiebreak or RAW_CLAIM)
     return with_month_offset(
         kept.drop("_loaded_at", "_source"),
         "patient_id",
@@ -280,6 +295,8 @@ def payer_segments(patients: DataFrame) -> DataFrame:
     )
 
 
+PARTITIONED = ("gold_claims", "gold_revenue_summary")
+PERIOD = ("year_num", "quarter_num")
 LAYERS = (
     "bronze_patients",
     "bronze_hcps",
@@ -400,11 +417,12 @@ def materialize(
 ) -> Mart:
     """Write each layer as parquet and build the next one from what was written.
 
-    A layer is computed once, and a lost executor recomputes from the written layer below.
+    A layer is computed once, and a lost executor recomputes from the written layer below. The
+    gold facts are partitioned by year and quarter, which is what questions filter on.
     """
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        overwrite(df, f"{folder}/{name}")
+        overwrite(df, f"{folder}/{name}", PERIOD if name in PARTITIONED else ())
         return spark.read.parquet(f"{folder}/{name}")
 
     mart = Mart(seeds, batch_ts, as_of, store=store, **options)

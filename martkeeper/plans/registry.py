@@ -43,7 +43,7 @@ from martkeeper.plans import standins as S
 from martkeeper.plans.views import COMMERCIAL_AND_PAYER, mart_tables, metric_catalog
 from martkeeper.sources import seeds as gen
 from martkeeper.sources.ingest import with_ingest_metadata
-from martkeeper.sources.tables import scan_parquet
+from martkeeper.sources.tables import ParquetFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,10 +57,10 @@ VISIBLE_REGION = "AMERICA"
 ANALYST = Caller("analyst@example.com")
 STEWARD = Caller("steward@example.com", ("stewards",))
 
-_QUERIES: dict[str, Query] = {}
+_QUERIES: dict[str, Callable[[ParquetFolder], DataFrame]] = {}
 
 
-def query(function: Query) -> Query:
+def query(function: Callable[[ParquetFolder], DataFrame]) -> Callable[[ParquetFolder], DataFrame]:
     """Register a function under its own name."""
     _QUERIES[function.__name__] = function
     return function
@@ -82,15 +82,15 @@ def plain(df: DataFrame, rounded: Mapping[str, int] | None = None) -> DataFrame:
     return df.select(*out)
 
 
-def _mart(spark: SparkSession, folder: str) -> M.Mart:
-    seeds = S.StandinSeeds(spark, folder)
+def _mart(src: ParquetFolder) -> M.Mart:
+    seeds = S.StandinSeeds(src)
     return M.build(
         seeds, BATCH_TS, AS_OF, high_value_usd=HIGH_VALUE_USD, tiebreaks=seeds.TIEBREAKS
     )
 
 
-def _catalog(spark: SparkSession, folder: str) -> MetricCatalog:
-    return metric_catalog(spark, mart_tables(_mart(spark, folder)))
+def _catalog(src: ParquetFolder) -> MetricCatalog:
+    return metric_catalog(src.spark, mart_tables(_mart(src)))
 
 
 # Layers ------------------------------------------------------------------------------------------
@@ -106,8 +106,8 @@ def _register_layers() -> None:
     }
     for layer in M.LAYERS:
 
-        def run(spark: SparkSession, folder: str, layer: str = layer) -> DataFrame:
-            return plain(getattr(_mart(spark, folder), layer), rounded.get(layer))
+        def run(src: ParquetFolder, layer: str = layer) -> DataFrame:
+            return plain(getattr(_mart(src), layer), rounded.get(layer))
 
         _QUERIES[layer] = run
 
@@ -116,49 +116,49 @@ _register_layers()
 
 
 @query
-def ingest_orders(spark, folder):
-    df = with_ingest_metadata(scan_parquet(spark, folder, "orders"), "orders", BATCH_TS)
+def ingest_orders(src):
+    df = with_ingest_metadata(src.scan("orders"), "orders", BATCH_TS)
     return plain(df)
 
 
 @query
-def patient_payer_segment(spark, folder):
-    return M.payer_segments(_mart(spark, folder).gold_patients)
+def patient_payer_segment(src):
+    return M.payer_segments(_mart(src).gold_patients)
 
 
 # Conforming, milestones, periods, roll-ups -------------------------------------------------------
 
 
 @query
-def dedup_lineitem(spark, folder):
-    lines = scan_parquet(spark, folder, "lineitem")
+def dedup_lineitem(src):
+    lines = src.scan("lineitem")
     return plain(dedup_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"]))
 
 
 @query
-def dedup_documents(spark, folder):
-    docs = scan_parquet(spark, folder, "documents", ["doc_id", "text", "lang", "source"])
-    kept = dedup_latest(docs, ["text"], [], ["doc_id", "lang", "source"])
+def dedup_documents(src):
+    docs = src.scan("documents", ["doc_id", "text", "lang", "source"])
+    kept = dedup_latest(docs, ["text"], [], ["doc_id", "lang", "source"], by_digest=True)
     return kept.select("doc_id", "lang", "source")
 
 
-def _steps(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_parquet(spark, folder, "events").select(
+def _steps(src: ParquetFolder) -> DataFrame:
+    return src.scan("events").select(
         "event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day")
     )
 
 
 @query
-def milestone_cycle_time(spark, folder):
-    days = cycle_times(_steps(spark, folder), "user_id", "event_type", "day", "signup", "purchase")
-    who = S.customers(spark, folder)
+def milestone_cycle_time(src):
+    days = cycle_times(_steps(src), "user_id", "event_type", "day", "signup", "purchase")
+    who = S.customers(src)
     joined = days.join(who, F.col("user_id") == F.col("c_custkey"))
     return cycle_time_by(joined, "channel", digits=2)
 
 
 @query
-def self_pivot_cycle_time(spark, folder):
-    steps = _steps(spark, folder)
+def self_pivot_cycle_time(src):
+    steps = _steps(src)
     dates = milestone_dates(
         steps, "user_id", "event_type", "day", {"start_date": "signup", "end_date": "purchase"}
     )
@@ -166,36 +166,36 @@ def self_pivot_cycle_time(spark, folder):
 
 
 @query
-def event_month_offset(spark, folder):
+def event_month_offset(src):
     return with_month_offset(
-        _steps(spark, folder), "user_id", "event_type", "day", "purchase", ["click", "view"]
+        _steps(src), "user_id", "event_type", "day", "purchase", ["click", "view"]
     )
 
 
 @query
-def month_offset_from_placement(spark, folder):
+def month_offset_from_placement(src):
     """Months from each customer's last placement line to every order line."""
-    claims = S.claims(spark, folder).select("claim_id", "patient_id", "claim_type", "claim_date")
+    claims = S.claims(src).select("claim_id", "patient_id", "claim_type", "claim_date")
     return with_month_offset(
         claims, "patient_id", "claim_type", "claim_date", M.PLACEMENT, [M.SHIPMENT]
     )
 
 
 @query
-def monthly_revenue(spark, folder):
-    return plain(with_calendar(S.monthly_money(spark, folder), "month"))
+def monthly_revenue(src):
+    return plain(with_calendar(S.monthly_money(src), "month"))
 
 
 @query
-def running_revenue(spark, folder):
-    monthly = S.monthly_money(spark, folder).select("o_custkey", "month", "total")
+def running_revenue(src):
+    monthly = S.monthly_money(src).select("o_custkey", "month", "total")
     return plain(running_totals(monthly, ["o_custkey"], "month", {"running_total": "total"}))
 
 
 @query
-def running_order_value(spark, folder):
+def running_order_value(src):
     """Running totals on a table with several rows per customer and month."""
-    orders = scan_parquet(spark, folder, "orders").select(
+    orders = src.scan("orders").select(
         "o_orderkey",
         "o_custkey",
         month_start("o_orderdate").alias("month"),
@@ -206,27 +206,27 @@ def running_order_value(spark, folder):
 
 
 @query
-def month_growth(spark, folder):
-    monthly = S.monthly_money(spark, folder).select("o_custkey", "month", "total")
+def month_growth(src):
+    monthly = S.monthly_money(src).select("o_custkey", "month", "total")
     return plain(
         with_growth(monthly, ["o_custkey"], "month", "total", "growth_pct", "previous_total")
     )
 
 
 @query
-def fanout(spark, folder):
-    orders = scan_parquet(spark, folder, "orders").select("o_custkey", "o_orderdate")
+def fanout(src):
+    orders = src.scan("orders").select("o_custkey", "o_orderdate")
     months = orders.groupBy("o_custkey", month_start("o_orderdate").alias("m")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    who = scan_parquet(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    who = src.scan("customer").select(F.col("c_custkey").alias("o_custkey"))
     return fanout_check(who, "o_custkey", [orders, months])
 
 
 @query
-def provider_retention(spark, folder):
+def provider_retention(src):
     return plain(
-        M.silver_hcps(M.bronze("hcps", S.hcps(spark, folder), BATCH_TS)).select(
+        M.silver_hcps(M.bronze("hcps", S.hcps(src), BATCH_TS)).select(
             "hcp_id", "nbrx_12m", "trx_12m", "retention_rate"
         ),
         {"retention_rate": 6},
@@ -234,15 +234,15 @@ def provider_retention(spark, folder):
 
 
 @query
-def provider_reach(spark, folder):
+def provider_reach(src):
     """Suppliers with the customers they served, where a customer has several suppliers."""
-    lines = scan_parquet(spark, folder, "lineitem", ["l_orderkey", "l_suppkey"])
-    orders = scan_parquet(spark, folder, "orders", ["o_orderkey", "o_custkey"])
-    who = scan_parquet(spark, folder, "customer", ["c_custkey", "c_acctbal"])
+    lines = src.scan("lineitem", ["l_orderkey", "l_suppkey"])
+    orders = src.scan("orders", ["o_orderkey", "o_custkey"])
+    who = src.scan("customer", ["c_custkey", "c_acctbal"])
     served = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         who, F.col("o_custkey") == F.col("c_custkey")
     )
-    suppliers = scan_parquet(spark, folder, "supplier", ["s_suppkey", "s_name"])
+    suppliers = src.scan("supplier", ["s_suppkey", "s_name"])
     return referral_rollup(
         suppliers,
         served,
@@ -287,8 +287,8 @@ _QUOTIENTS = {
 def _register_views() -> None:
     for name, (dims, rounded) in _MV.items():
 
-        def run(spark, folder, name=name, dims=dims, rounded=rounded):
-            catalog = _catalog(spark, folder)
+        def run(src, name=name, dims=dims, rounded=rounded):
+            catalog = _catalog(src)
             measures = list(catalog.view(name).measures)
             return plain(catalog.query(name, measures, dims), {**_QUOTIENTS, **rounded})
 
@@ -299,9 +299,9 @@ _register_views()
 
 
 @query
-def recognized_revenue_by_patient(spark, folder):
+def recognized_revenue_by_patient(src):
     """The per-patient dimension, for callers outside the restricted surfaces."""
-    df = _catalog(spark, folder).query(
+    df = _catalog(src).query(
         "mv_recognized_revenue",
         ["Total Revenue USD", "Margin USD"],
         ["Patient Id", "Year"],
@@ -311,19 +311,19 @@ def recognized_revenue_by_patient(spark, folder):
 
 
 @query
-def revenue_total(spark, folder):
+def revenue_total(src):
     """Measures without dimensions: one row."""
-    df = _catalog(spark, folder).query(
+    df = _catalog(src).query(
         "mv_revenue_by_channel", ["Patient Count", "Total Revenue USD"]
     )
     return plain(df)
 
 
 @query
-def payer_segment_on_surface(spark, folder):
+def payer_segment_on_surface(src):
     """The uncertified view through a surface, with the notice column."""
     df = COMMERCIAL_AND_PAYER.query(
-        _catalog(spark, folder),
+        _catalog(src),
         "mv_payer_segment_revenue",
         ["Patient Count", "Total Revenue USD"],
         ["Payer Segment"],
@@ -332,8 +332,8 @@ def payer_segment_on_surface(spark, folder):
 
 
 @query
-def join_key_check(spark, folder):
-    return _catalog(spark, folder).join_check("mv_recurring_revenue")
+def join_key_check(src):
+    return _catalog(src).join_check("mv_recurring_revenue")
 
 
 # Question set ------------------------------------------------------------------------------------
@@ -361,8 +361,8 @@ _QUESTIONS = {
 def _register_questions() -> None:
     for name, ask in _QUESTIONS.items():
 
-        def run(spark, folder, ask=ask):
-            return plain(ask(_catalog(spark, folder)), {**_QUOTIENTS, "Avg Cycle Time Days": 6})
+        def run(src, ask=ask):
+            return plain(ask(_catalog(src)), {**_QUOTIENTS, "Avg Cycle Time Days": 6})
 
         _QUERIES[name] = run
 
@@ -371,41 +371,41 @@ _register_questions()
 
 
 @query
-def segment_speed_and_margin(spark, folder):
-    catalog = _catalog(spark, folder)
+def segment_speed_and_margin(src):
+    catalog = _catalog(src)
     df = Q.segment_speed_and_margin(catalog)
     return plain(df, {"avg_cycle_days": 6, "avg_margin_pct": 6})
 
 
 @query
-def whatif_shift(spark, folder):
-    return plain(Q.whatif_shift(_mart(spark, folder).gold_revenue_summary))
+def whatif_shift(src):
+    return plain(Q.whatif_shift(_mart(src).gold_revenue_summary))
 
 
 @query
-def cycle_time_by_start_quarter(spark, folder):
+def cycle_time_by_start_quarter(src):
     """Cycle time of the cohort that starts in the quarter, instead of the one that ends in it."""
-    claims = S.claims(spark, folder)
+    claims = S.claims(src)
     days = cycle_times(
         claims, "patient_id", "claim_type", "claim_date", M.INTAKE, M.PLACEMENT
     )
     cohort = days.filter(
         (F.quarter("start_date") == QUARTER) & (F.year("start_date") == YEAR)
     )
-    who = S.customers(spark, folder).withColumn("patient_id", padded_key("PAT", "c_custkey"))
+    who = S.customers(src).withColumn("patient_id", padded_key("PAT", "c_custkey"))
     return cycle_time_by(cohort.join(who, "patient_id"), "channel", "device_type", digits=2)
 
 
 # Masks and governed reads ------------------------------------------------------------------------
 
 
-def _people(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_parquet(spark, folder, "customer", ["c_custkey", "c_name"])
+def _people(src: ParquetFolder) -> DataFrame:
+    return src.scan("customer", ["c_custkey", "c_name"])
 
 
 @query
-def masked_last4(spark, folder):
-    return _people(spark, folder).select(
+def masked_last4(src):
+    return _people(src).select(
         "c_custkey",
         mask_last4("c_name").alias("masked"),
         mask_last4(F.col("c_custkey").cast("string")).alias("masked_short"),
@@ -414,30 +414,30 @@ def masked_last4(spark, folder):
 
 
 @query
-def masked_year(spark, folder):
-    orders = scan_parquet(spark, folder, "orders", ["o_orderkey", "o_orderdate"])
+def masked_year(src):
+    orders = src.scan("orders", ["o_orderkey", "o_orderdate"])
     day = F.col("o_orderdate").cast("date")
     return orders.select("o_orderkey", mask_dob_year(day).alias("masked"))
 
 
 @query
-def masked_redacted(spark, folder):
-    return _people(spark, folder).select("c_custkey", mask_redact("c_name").alias("masked"))
+def masked_redacted(src):
+    return _people(src).select("c_custkey", mask_redact("c_name").alias("masked"))
 
 
 @query
-def tokenized_key(spark, folder):
-    return _people(spark, folder).select(
+def tokenized_key(src):
+    return _people(src).select(
         tokenize_key(F.col("c_custkey").cast("string")).alias("token"),
         tokenize_key("c_name", salt="pepper").alias("salted_token"),
     )
 
 
 @query
-def sql_function_masks(spark, folder):
+def sql_function_masks(src):
     """The masks as SQL functions."""
-    register_sql_functions(spark)
-    people = scan_parquet(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    register_sql_functions(src.spark)
+    people = src.scan("customer").select("c_custkey", "c_name", "c_mktsegment")
     return people.selectExpr(
         "c_custkey",
         "mask_last4(c_name) AS last4",
@@ -449,46 +449,46 @@ def sql_function_masks(spark, folder):
 
 
 @query
-def region_rows(spark, folder):
-    people = S.patients(spark, folder).select("patient_id", "region")
+def region_rows(src):
+    people = S.patients(src).select("patient_id", "region")
     return people.filter(region_row_filter("region", [VISIBLE_REGION, "ASIA"]))
 
 
-def _governed(spark: SparkSession, folder: str, table: str, caller: Caller) -> DataFrame:
+def _governed(src: ParquetFolder, table: str, caller: Caller) -> DataFrame:
     gov = default_governance(regions=[VISIBLE_REGION])
-    return gov.secure(getattr(_mart(spark, folder), table), CERTIFIED_SCHEMA, table, caller)
+    return gov.secure(getattr(_mart(src), table), CERTIFIED_SCHEMA, table, caller)
 
 
 @query
-def secure_patients_analyst(spark, folder):
-    return plain(_governed(spark, folder, "gold_patients", ANALYST))
+def secure_patients_analyst(src):
+    return plain(_governed(src, "gold_patients", ANALYST))
 
 
 @query
-def secure_patients_steward(spark, folder):
-    return plain(_governed(spark, folder, "gold_patients", STEWARD))
+def secure_patients_steward(src):
+    return plain(_governed(src, "gold_patients", STEWARD))
 
 
 @query
-def secure_revenue_analyst(spark, folder):
-    df = _governed(spark, folder, "gold_revenue_summary", ANALYST)
+def secure_revenue_analyst(src):
+    df = _governed(src, "gold_revenue_summary", ANALYST)
     return plain(df.select("patient_id", "month", "total_recognized_usd", "region"))
 
 
 @query
-def blocked_rows(spark, folder):
+def blocked_rows(src):
     gov = default_governance(regions=[VISIBLE_REGION])
-    gold = _mart(spark, folder).gold_patients
+    gold = _mart(src).gold_patients
     return gov.blocked_rows(gold, CERTIFIED_SCHEMA, "gold_patients", ANALYST)
 
 
 @query
-def token_join(spark, folder):
+def token_join(src):
     """A masked caller joins two tables on the tokenised key: no row is lost."""
-    people = _governed(spark, folder, "gold_patients", ANALYST).select(
+    people = _governed(src, "gold_patients", ANALYST).select(
         "patient_id", "device_category"
     )
-    revenue = _governed(spark, folder, "gold_revenue_summary", ANALYST).select(
+    revenue = _governed(src, "gold_revenue_summary", ANALYST).select(
         "patient_id", "total_recognized_usd"
     )
     return plain(
@@ -503,21 +503,21 @@ def token_join(spark, folder):
 
 
 @query
-def entitled_patients(spark, folder):
+def entitled_patients(src):
     """Rows by an entitlement table: suppliers see the customers of their own region."""
-    entitlements = S.hcps(spark, folder).select(
+    entitlements = S.hcps(src).select(
         F.col("hcp_id").alias("principal"), F.col("region").alias("value")
     )
-    people = S.patients(spark, folder).select("patient_id", "region", "device_type")
+    people = S.patients(src).select("patient_id", "region", "device_type")
     return entitled_rows(people, "region", entitlements, "HCP-000001")
 
 
 # Grants ------------------------------------------------------------------------------------------
 
 
-def _grants(spark: SparkSession, folder: str) -> DataFrame:
+def _grants(src: ParquetFolder) -> DataFrame:
     key = F.col("c_custkey")
-    return scan_parquet(spark, folder, "customer").select(
+    return src.scan("customer").select(
         F.format_string("nation-%02d@example.com", "c_nationkey").alias("principal_id"),
         F.when(key % 4 == 0, "group").otherwise("user").alias("principal_type"),
         F.when(key % 3 == 0, "SCHEMA").when(key % 3 == 1, "TABLE").otherwise("VIEW").alias(
@@ -534,36 +534,36 @@ def _grants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def active_grants(spark, folder):
-    return G.active_grants(_grants(spark, folder), NOW)
+def active_grants(src):
+    return G.active_grants(_grants(src), NOW)
 
 
 @query
-def grant_counts(spark, folder):
-    return G.grant_counts(_grants(spark, folder), NOW)
+def grant_counts(src):
+    return G.grant_counts(_grants(src), NOW)
 
 
 @query
-def grant_actions(spark, folder):
-    return G.grant_actions(_grants(spark, folder), NOW)
+def grant_actions(src):
+    return G.grant_actions(_grants(src), NOW)
 
 
 @query
-def expired_sweep(spark, folder):
-    return plain(G.deactivate_expired(_grants(spark, folder), NOW))
+def expired_sweep(src):
+    return plain(G.deactivate_expired(_grants(src), NOW))
 
 
 @query
-def audit_append(spark, folder):
+def audit_append(src):
     """Audit rows of one cycle, numbered after the highest id of the earlier log."""
-    earlier = scan_parquet(spark, folder, "supplier").select(F.col("s_suppkey").alias("audit_id"))
-    rows = G.audit_rows(G.grant_actions(_grants(spark, folder), NOW), NOW)
+    earlier = src.scan("supplier").select(F.col("s_suppkey").alias("audit_id"))
+    rows = G.audit_rows(G.grant_actions(_grants(src), NOW), NOW)
     return plain(G.with_audit_id(rows, G.highest_audit_id(earlier)))
 
 
 @query
-def audit_hourly(spark, folder):
-    log = scan_parquet(spark, folder, "events").select(
+def audit_hourly(src):
+    log = src.scan("events").select(
         F.col("ts").cast("timestamp").alias("action_time"), F.col("event_type").alias("action")
     )
     return plain(G.audit_by_hour(log, AUDIT_NOW))
@@ -573,52 +573,52 @@ def audit_hourly(spark, folder):
 
 
 @query
-def grain_checks(spark, folder):
+def grain_checks(src):
     return grain_check(
         {
-            "patients": (S.patients(spark, folder), ["patient_id"]),
-            "hcps": (S.hcps(spark, folder), ["hcp_id"]),
-            "claims": (S.claims(spark, folder), ["claim_id"]),
+            "patients": (S.patients(src), ["patient_id"]),
+            "hcps": (S.hcps(src), ["hcp_id"]),
+            "claims": (S.claims(src), ["claim_id"]),
         }
     )
 
 
 @query
-def composite_grain(spark, folder):
+def composite_grain(src):
     return grain_check(
-        {"revenue_summary": (S.revenue_summary(spark, folder), ["patient_id", "month"])}
+        {"revenue_summary": (S.revenue_summary(src), ["patient_id", "month"])}
     )
 
 
 @query
-def fk_completeness(spark, folder):
-    return completeness(S.patients(spark, folder), "referring_hcp_id", "enrolled_date")
+def fk_completeness(src):
+    return completeness(S.patients(src), "referring_hcp_id", "enrolled_date")
 
 
 @query
-def hcp_distribution(spark, folder):
-    return distributions(S.hcps(spark, folder), "segment_priority", "specialty", "role_type")
+def hcp_distribution(src):
+    return distributions(S.hcps(src), "segment_priority", "specialty", "role_type")
 
 
 @query
-def priority_distribution(spark, folder):
-    return distribution(scan_parquet(spark, folder, "orders"), "o_orderpriority")
+def priority_distribution(src):
+    return distribution(src.scan("orders"), "o_orderpriority")
 
 
 @query
-def cycle_time_check(spark, folder):
+def cycle_time_check(src):
     """Cycle time by channel on the raw claims, ranked against the planted order."""
-    claims = S.claims(spark, folder)
+    claims = S.claims(src)
     days = cycle_times(claims, "patient_id", "claim_type", "claim_date", M.INTAKE, M.PLACEMENT)
-    who = S.customers(spark, folder).withColumn("patient_id", padded_key("PAT", "c_custkey"))
+    who = S.customers(src).withColumn("patient_id", padded_key("PAT", "c_custkey"))
     levels = cycle_time_by(days.join(who, "patient_id"), "channel", digits=2)
     return level_order(levels, "channel", "avg_days", ["DTC", "Pharmacy", "DME"])
 
 
 @query
-def margin_check(spark, folder):
+def margin_check(src):
     """Mean margin by channel on the raw revenue."""
-    revenue = S.revenue_summary(spark, folder)
+    revenue = S.revenue_summary(src)
     levels = revenue.groupBy("channel").agg(
         F.round(F.avg("gross_margin_pct"), 2).alias("avg_margin"),
         F.count(F.lit(1)).alias("row_count"),
@@ -629,16 +629,16 @@ def margin_check(spark, folder):
 # Generated seeds, one entity per key of a given table --------------------------------------------
 
 
-def _patient_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_parquet(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
+def _patient_numbers(src: ParquetFolder) -> DataFrame:
+    return src.scan("customer").select(F.col("c_custkey").alias("id"))
 
 
-def _provider_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_parquet(spark, folder, "supplier").select(F.col("s_suppkey").alias("id"))
+def _provider_numbers(src: ParquetFolder) -> DataFrame:
+    return src.scan("supplier").select(F.col("s_suppkey").alias("id"))
 
 
-def _generated(spark: SparkSession, folder: str) -> M.Seeds:
-    numbers, providers = _patient_numbers(spark, folder), _provider_numbers(spark, folder)
+def _generated(src: ParquetFolder) -> M.Seeds:
+    numbers, providers = _patient_numbers(src), _provider_numbers(src)
     count = providers.agg(F.count(F.lit(1)).alias("n")).scalar()
     return M.Seeds(
         gen.generate_patients(numbers, count),
@@ -649,35 +649,35 @@ def _generated(spark: SparkSession, folder: str) -> M.Seeds:
 
 
 @query
-def seed_hcps(spark, folder):
-    return _generated(spark, folder).hcps
+def seed_hcps(src):
+    return _generated(src).hcps
 
 
 @query
-def seed_patients(spark, folder):
-    return _generated(spark, folder).patients
+def seed_patients(src):
+    return _generated(src).patients
 
 
 @query
-def seed_claims(spark, folder):
-    return _generated(spark, folder).claims
+def seed_claims(src):
+    return _generated(src).claims
 
 
 @query
-def seed_revenue(spark, folder):
-    return plain(_generated(spark, folder).revenue_summary, {"margin_usd": 6})
+def seed_revenue(src):
+    return plain(_generated(src).revenue_summary, {"margin_usd": 6})
 
 
 @query
-def seed_revenue_from_claims(spark, folder):
-    made = _generated(spark, folder)
+def seed_revenue_from_claims(src):
+    made = _generated(src)
     return plain(gen.revenue_from_claims(made.claims, made.patients), {"margin_usd": 6})
 
 
 @query
-def seed_cycle_time(spark, folder):
+def seed_cycle_time(src):
     """Planted relation 1 on the generated claims."""
-    claims = _generated(spark, folder).claims
+    claims = _generated(src).claims
     days = cycle_times(claims, "patient_id", "claim_type", "claim_date", M.INTAKE, M.PLACEMENT)
     who = claims.filter(F.col("claim_type") == M.INTAKE).select("patient_id", "channel")
     levels = cycle_time_by(days.join(who, "patient_id"), "channel", digits=2)
@@ -685,9 +685,9 @@ def seed_cycle_time(spark, folder):
 
 
 @query
-def seed_margin(spark, folder):
+def seed_margin(src):
     """Planted relation 2 on the generated revenue."""
-    revenue = _generated(spark, folder).revenue_summary
+    revenue = _generated(src).revenue_summary
     levels = revenue.groupBy("channel").agg(
         F.round(F.avg("gross_margin_pct"), 2).alias("avg_margin"),
         F.count(F.lit(1)).alias("row_count"),
@@ -696,4 +696,9 @@ def seed_margin(spark, folder):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    """Each query as a function of session and folder."""
+
+    def bound(ask: Callable[[ParquetFolder], DataFrame]) -> Query:
+        return lambda spark, folder: ask(ParquetFolder(spark, folder))
+
+    return {name: bound(ask) for name, ask in _QUERIES.items()}

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkeeper.functions.calc import money
+from martkeeper.functions.calc import from_units, units
 from martkeeper.functions.draws import padded_key
 from martkeeper.operators.periods import monthly_sums
 from martkeeper.plans.medallion import INTAKE, PLACEMENT, SHIPMENT
-from martkeeper.sources.tables import scan_parquet
+from martkeeper.sources.tables import ParquetFolder
 
 CLAIM_TYPES = {"A": INTAKE, "N": PLACEMENT, "R": SHIPMENT}
 SPECIALTIES = ["Endocrinologist", "Diabetes Specialist", "PCP", "Nurse Educator", "PA-NP"]
@@ -35,24 +35,24 @@ def device() -> Column:
     return F.when(F.col("c_acctbal") > 4300, "Mobi").otherwise("t:slim X2")
 
 
-def customers(spark: SparkSession, folder: str) -> DataFrame:
+def customers(src: ParquetFolder) -> DataFrame:
     """Customer key with channel and device."""
-    return scan_parquet(spark, folder, "customer").select(
+    return src.scan("customer").select(
         "c_custkey", channel().alias("channel"), device().alias("device_type")
     )
 
 
-def _places(spark: SparkSession, folder: str) -> DataFrame:
-    nation, region = (scan_parquet(spark, folder, t) for t in ("nation", "region"))
+def _places(src: ParquetFolder) -> DataFrame:
+    nation, region = (src.scan(t) for t in ("nation", "region"))
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "n_name", F.col("r_name").alias("region")
     )
 
 
-def patients(spark: SparkSession, folder: str) -> DataFrame:
+def patients(src: ParquetFolder) -> DataFrame:
     """Enrolment is the first order; the referring provider is the supplier of its first line."""
-    lines = scan_parquet(spark, folder, "lineitem")
-    orders = scan_parquet(spark, folder, "orders")
+    lines = src.scan("lineitem")
+    orders = src.scan("orders")
     first_line = lines.groupBy("l_orderkey").agg(
         F.min(F.struct("l_linenumber", "l_suppkey")).alias("line")
     )
@@ -72,8 +72,8 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
     ssn = F.format_string("%03d-%02d-%04d", 100 + key % 900, 10 + key % 90, 1000 + key % 9000)
     born = F.date_sub(F.lit("2024-01-01").cast("date"), (365 * (18 + key % 58)).cast("int"))
     return (
-        scan_parquet(spark, folder, "customer")
-        .join(_places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
+        src.scan("customer")
+        .join(_places(src), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(history, key == F.col("o_custkey"), "left")
         .select(
             padded_key("PAT", "c_custkey").alias("patient_id"),
@@ -90,17 +90,17 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def hcps(spark: SparkSession, folder: str) -> DataFrame:
+def hcps(src: ParquetFolder) -> DataFrame:
     """Prescriptions are order lines; new ones are those that were not returned or accepted."""
-    lines = scan_parquet(spark, folder, "lineitem")
+    lines = src.scan("lineitem")
     volume = lines.groupBy("l_suppkey").agg(
         F.count_if(F.col("l_returnflag") == "N").alias("nbrx"), F.count(F.lit(1)).alias("trx")
     )
     key, balance = F.col("s_suppkey"), F.col("s_acctbal")
     specialty = F.array(*[F.lit(s) for s in SPECIALTIES])
     return (
-        scan_parquet(spark, folder, "supplier")
-        .join(_places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
+        src.scan("supplier")
+        .join(_places(src), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(volume, key == F.col("l_suppkey"), "left")
         .select(
             padded_key("HCP", "s_suppkey").alias("hcp_id"),
@@ -123,12 +123,12 @@ def hcps(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def claims(spark: SparkSession, folder: str) -> DataFrame:
+def claims(src: ParquetFolder) -> DataFrame:
     """Order lines; order and line number make the claim key, which occurs more than once."""
-    lines = scan_parquet(spark, folder, "lineitem")
-    orders = scan_parquet(spark, folder, "orders", ["o_orderkey", "o_custkey"])
+    lines = src.scan("lineitem")
+    orders = src.scan("orders", ["o_orderkey", "o_custkey"])
     owners = orders.join(
-        customers(spark, folder), F.col("o_custkey") == F.col("c_custkey")
+        customers(src), F.col("o_custkey") == F.col("c_custkey")
     ).select("o_orderkey", "o_custkey", "channel", "device_type")
     kind = F.col("l_returnflag")
     return lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -144,49 +144,52 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "N", F.col("device_type"))
         .otherwise("infusion_set")
         .alias("product_sku"),
-        money("l_extendedprice").alias("claim_amount_usd"),
+        F.col("l_extendedprice").alias("claim_amount_usd"),
         F.col("l_quantity").cast("int").alias("units"),
     )
 
 
 def order_money(lines: DataFrame) -> DataFrame:
-    """Exact amounts per order, combined before the order keys are shuffled."""
-    price = money("l_extendedprice")
-    rate = F.lit(1) - F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)")
+    """Amounts per order in whole cents, the margin in hundredths of cents.
+
+    Combined before the order keys are shuffled.
+    """
+    price, status = units("l_extendedprice"), F.col("l_linestatus")
+    rate = F.lit(100) - units("l_discount") - units("l_tax")
     return lines.groupBy("l_orderkey").agg(
-        F.sum(F.when(F.col("l_linestatus") == "F", price).otherwise(0)).alias("upfront"),
-        F.sum(F.when(F.col("l_linestatus") == "O", price).otherwise(0)).alias("recurring"),
+        F.sum(F.when(status == "F", price).otherwise(0)).alias("upfront"),
+        F.sum(F.when(status == "O", price).otherwise(0)).alias("recurring"),
         F.sum(price).alias("total"),
         F.sum(price * rate).alias("margin"),
     )
 
 
-def monthly_money(spark: SparkSession, folder: str) -> DataFrame:
-    """Amounts per customer and month of the order."""
-    orders = scan_parquet(spark, folder, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    per_order = order_money(scan_parquet(spark, folder, "lineitem"))
+def monthly_money(src: ParquetFolder) -> DataFrame:
+    """Exact amounts per customer and month of the order."""
+    orders = src.scan("orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    per_order = order_money(src.scan("lineitem"))
     joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
-    names = {n: n for n in ("upfront", "recurring", "total", "margin")}
-    return monthly_sums(joined, ["o_custkey"], "o_orderdate", names)
+    digits = {"upfront": 2, "recurring": 2, "total": 2, "margin": 4}
+    sums = monthly_sums(joined, ["o_custkey"], "o_orderdate", {n: n for n in digits})
+    exact = [from_units(n, d, 16 + d).alias(n) for n, d in digits.items()]
+    return sums.select("o_custkey", "month", *exact)
 
 
-def revenue_summary(spark: SparkSession, folder: str) -> DataFrame:
+def revenue_summary(src: ParquetFolder) -> DataFrame:
     """Monthly revenue; shipped lines are upfront, open ones recurring. Margin varies by row."""
-    total, margin = F.col("total").cast("decimal(18,2)"), F.col("margin").cast("decimal(20,4)")
+    total, margin = F.col("total"), F.col("margin")
     return (
-        monthly_money(spark, folder)
-        .join(customers(spark, folder), F.col("o_custkey") == F.col("c_custkey"))
+        monthly_money(src)
+        .join(customers(src), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             padded_key("PAT", "o_custkey").alias("patient_id"),
             "month",
-            F.col("upfront").cast("decimal(18,2)").alias("upfront_recognized_usd"),
-            F.col("recurring").cast("decimal(18,2)").alias("recurring_recognized_usd"),
+            F.col("upfront").alias("upfront_recognized_usd"),
+            F.col("recurring").alias("recurring_recognized_usd"),
             (F.try_divide(margin.cast("double"), total.cast("double")) * 100).alias(
                 "gross_margin_pct"
             ),
-            (total.cast("decimal(20,4)") - margin).cast("decimal(20,4)").alias(
-                "fulfillment_cost_usd"
-            ),
+            (total - margin).cast("decimal(20,4)").alias("fulfillment_cost_usd"),
             total.alias("total_recognized_usd"),
             margin.alias("margin_usd"),
             "channel",
@@ -201,21 +204,21 @@ class StandinSeeds:
     # A customer's and a supplier's name identify the row.
     TIEBREAKS = {"patients": ["patient_name"], "hcps": ["hcp_name"]}
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder
+    def __init__(self, src: ParquetFolder) -> None:
+        self.src = src
 
     @cached_property
     def patients(self) -> DataFrame:
-        return patients(self.spark, self.folder)
+        return patients(self.src)
 
     @cached_property
     def hcps(self) -> DataFrame:
-        return hcps(self.spark, self.folder)
+        return hcps(self.src)
 
     @cached_property
     def claims(self) -> DataFrame:
-        return claims(self.spark, self.folder)
+        return claims(self.src)
 
     @cached_property
     def revenue_summary(self) -> DataFrame:
-        return revenue_summary(self.spark, self.folder)
+        return revenue_summary(self.src)

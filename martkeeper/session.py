@@ -8,11 +8,29 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Adaptive execution measures shuffle output at run time: it merges small partitions, splits skewed
+# join partitions (also where that costs one more shuffle) and broadcasts a side only after its
+# size is known to be below the limit.
+RECOMMENDED = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+}
+
+
+def recommend(spark: SparkSession) -> SparkSession:
+    """Set the run-time options above on a session."""
+    for key, value in RECOMMENDED.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def local_session(
     cores: int | str | None = None, name: str = "martkeeper", memory: str = "8g"
 ) -> SparkSession:
-    """A session for tests and the bench. Adaptive execution splits skewed join partitions."""
+    """A session for tests and the bench."""
     cores = cores or os.environ.get("BENCH_CPUS", "8")
     session = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -21,12 +39,10 @@ def local_session(
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    return recommend(session)
 
 
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:

@@ -22,9 +22,16 @@ RUN = "_run"
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the whole table."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Replace the whole table.
+
+    Partitioned tables are rebalanced on the partition columns first: few files per partition, and
+    a large partition is split over several tasks.
+    """
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    rebalanced = df.hint("rebalance", *partition_by)
+    rebalanced.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -26,6 +26,21 @@ def scan_parquet(
     return df.select(*columns) if columns else df
 
 
+@dataclass
+class ParquetFolder:
+    """A folder of parquet tables. A table's files are listed once, however often it is scanned."""
+
+    spark: SparkSession
+    folder: str
+    _tables: dict[str, DataFrame] = field(default_factory=dict)
+
+    def scan(self, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = scan_parquet(self.spark, self.folder, name)
+        df = self._tables[name]
+        return df.select(*columns) if columns else df
+
+
 def scan_table(spark: SparkSession, *parts: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Scan a catalog table by its parts, such as ``scan_table(spark, catalog, schema, name)``."""
     df = spark.table(qualified(*parts))
