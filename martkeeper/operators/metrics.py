@@ -126,10 +126,10 @@ class MetricCatalog:
         """(join, keys, duplicate_keys) per declared join; a duplicate key inflates measures."""
         out = None
         for j in self.view(name).joins:
-            key = j.on.split("=")[1].strip().split(".", 1)[1]
+            keys = re.findall(rf"\b{re.escape(j.name)}\.(\w+)", j.on)
             checked = (
                 self.tables.get(j.source)
-                .groupBy(key)
+                .groupBy(*keys)
                 .agg(F.count(F.lit(1)).alias("n"))
                 .agg(
                     F.count(F.lit(1)).alias("keys"),
@@ -216,7 +216,7 @@ def _used_joins(
     for j in reversed(view.joins):
         if any(re.search(rf"\b{re.escape(j.name)}\b\s*`?\.", t) for t in texts):
             used.insert(0, j)
-            texts.append(j.on.split("=")[0])
+            texts.append(j.on)
     return used
 
 

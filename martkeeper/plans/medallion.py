@@ -27,6 +27,7 @@ from martkeeper.operators.conform import dedup_latest
 from martkeeper.operators.milestones import milestone_dates, with_cycle_time, with_month_offset
 from martkeeper.operators.periods import running_totals, with_calendar, with_growth
 from martkeeper.operators.rollup import entity_rollup, pivot_max, positive_sum, referral_rollup
+from martkeeper.session import shared_folder
 from martkeeper.sources.ingest import with_ingest_metadata
 from martkeeper.sources.sinks import overwrite
 
@@ -410,7 +411,7 @@ def build(seeds: RawTables, batch_ts: datetime | str, as_of: date | str, **optio
 def materialize(
     spark: SparkSession,
     seeds: RawTables,
-    folder: str,
+    folder: str | None,
     batch_ts: datetime | str,
     as_of: date | str,
     **options,
@@ -418,8 +419,10 @@ def materialize(
     """Write each layer as parquet and build the next one from what was written.
 
     A layer is computed once, and a lost executor recomputes from the written layer below. The
-    gold facts are partitioned by year and quarter, which is what questions filter on.
+    gold facts are partitioned by year and quarter, which is what questions filter on. Without a
+    folder the layers go under the one that the cluster shares.
     """
+    folder = folder or f"{shared_folder(spark)}/mart"
 
     def store(name: str, df: DataFrame) -> DataFrame:
         overwrite(df, f"{folder}/{name}", PERIOD if name in PARTITIONED else ())

@@ -54,3 +54,9 @@ def difference(df, con, sql):
             bad = [(c, x, y) for c, x, y in zip(sc, a, b) if x != y]
             return f"{len([1 for p, q in zip(sr, dr) if p != q])} rows differ, first: {bad}"
     return ""
+
+
+def plan_text(df):
+    """The formatted physical plan, with untruncated scan details."""
+    jvm = df.sparkSession.sparkContext._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
