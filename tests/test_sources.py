@@ -1,5 +1,7 @@
 from datetime import datetime
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import types as T
 
 from martkeeper.session import shared_folder
@@ -64,15 +66,15 @@ def test_comments_travel_with_the_files(spark, tmp_path):
     assert spark.read.parquet(path).schema["id"].metadata["comment"] == "key"
 
 
-def test_shared_folder_is_the_clusters(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/shared/x")
-    try:
-        assert shared_folder(spark, str(tmp_path)) == "/shared/x"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_shared_folder_is_the_clusters(tmp_path):
+    def session(folder):
+        conf = SimpleNamespace(get=lambda key, default: folder or default)
+        return SimpleNamespace(conf=conf)
+
+    assert shared_folder(session("/shared/x"), str(tmp_path)) == "/shared/x"
+    assert shared_folder(session(None), str(tmp_path)) == str(tmp_path)
+    with pytest.raises(ValueError):
+        shared_folder(session(None))
 
 
 def test_scan_and_evaluate(spark, tmp_path, capsys):
