@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkeeper.functions.calc import month_offset
+from martkeeper.operators.joins import attach
 
 
 def milestone_dates(
@@ -69,7 +70,7 @@ def with_cycle_time(
 ) -> DataFrame:
     """Every fact with the cycle time of its entity, NULL where a milestone is missing."""
     timed = milestones.select(key, F.datediff(end, start).alias(out))
-    return facts.join(timed, key, "left")
+    return attach(facts, timed, [key])
 
 
 def with_month_offset(
@@ -91,4 +92,4 @@ def with_month_offset(
         .when(F.col(kind).isin(list(counted)), month_offset(at, "_anchor_date"))
         .alias(out)
     )
-    return facts.join(anchors, key, "left").select(*facts.columns, offset)
+    return attach(facts, anchors, [key], null_safe=True).select(*facts.columns, offset)

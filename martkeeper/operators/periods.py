@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkeeper.functions.calc import growth_pct, month_start, quarter_num, year_num
+from martkeeper.operators.joins import attach
 
 
 def with_calendar(df: DataFrame, at: str) -> DataFrame:
@@ -46,15 +47,7 @@ def running_totals(
     running = per_period.select(
         *keys, order, *[F.sum(f"_sum_{out}").over(spec).alias(out) for out in totals]
     )
-    matched = [F.col(f"f.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, order)]
-    condition = matched[0]
-    for m in matched[1:]:
-        condition = condition & m
-    return (
-        df.alias("f")
-        .join(running.alias("r"), condition, "left")
-        .select("f.*", *[F.col(f"r.{out}") for out in totals])
-    )
+    return attach(df, running, [*keys, order], null_safe=True)
 
 
 def with_growth(

@@ -24,6 +24,7 @@ from martkeeper.functions.calc import (
     ratio,
 )
 from martkeeper.operators.conform import dedup_latest
+from martkeeper.operators.joins import attach
 from martkeeper.operators.milestones import milestone_dates, with_cycle_time, with_month_offset
 from martkeeper.operators.periods import running_totals, with_calendar, with_growth
 from martkeeper.operators.rollup import entity_rollup, pivot_max, positive_sum, referral_rollup
@@ -161,7 +162,7 @@ def silver_claims(
         "patient_id",
         out="days_to_pump_on_body",
     )
-    rows = with_calendar(bronze_claims.join(known, "patient_id"), "claim_date")
+    rows = with_calendar(attach(bronze_claims, known, ["patient_id"], "inner"), "claim_date")
     return rows.select(
         "claim_id",
         "patient_id",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkeeper.operators.metrics import MetricCatalog
+from martkeeper.operators.joins import attach
 from martkeeper.operators.scenario import shift_share
 from martkeeper.plans.medallion import PLACEMENT
 
@@ -176,11 +177,10 @@ def segment_speed_and_margin(c: MetricCatalog) -> DataFrame:
     Cycle time comes from the gold placements, margin from the payer view; the two aggregates have
     one row per segment and are joined after the fact.
     """
+    placements = c.tables.get("gold_claims").filter(F.col("claim_type") == PLACEMENT)
     segments = c.tables.get("patient_payer_segment")
     speed = (
-        c.tables.get("gold_claims")
-        .filter(F.col("claim_type") == PLACEMENT)
-        .join(segments, "patient_id")
+        attach(placements, segments, ["patient_id"], "inner")
         .groupBy(F.col("payer_segment").alias("Payer Segment"))
         .agg(F.avg("days_to_pump_on_body").alias("avg_cycle_days"))
     )
