@@ -41,13 +41,13 @@ HEADLINE = [
     "dedup_lineitem",
     "month_growth",
     "running_order_value",
-    "provider_reach",
-    "fanout",
+    "provider_referral_rollup",
+    "fanout_check",
     "secure_patients_analyst",
     "token_join",
     "grant_actions",
     "audit_append",
-    "grain_checks",
+    "grain_check",
     "seed_claims",
 ]
 

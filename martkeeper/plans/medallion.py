@@ -257,16 +257,25 @@ def gold_patients(
     )
 
 
-def gold_claims(claims: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """One row per placement or shipment claim, with months since the patient's placement.
+def kept_claims(claims: DataFrame, tiebreak: Sequence[str] | None = None) -> DataFrame:
+    """One row per placement or shipment claim.
 
     Versions of a claim with equal load time are ordered by the raw columns; the derived ones
     follow from these.
     """
     wanted = claims.filter(F.col("claim_type").isin(PLACEMENT, SHIPMENT))
     kept = dedup_latest(wanted, ["claim_id"], tiebreak=tiebreak or RAW_CLAIM)
+    return kept.drop("_loaded_at", "_source")
+
+
+def gold_claims(kept: DataFrame) -> DataFrame:
+    """Kept claims with months since the patient's placement.
+
+    The claims are read twice, once for the placements and once for all rows, so a deployment
+    writes them first.
+    """
     return with_month_offset(
-        kept.drop("_loaded_at", "_source"),
+        kept,
         "patient_id",
         "claim_type",
         "claim_date",
@@ -388,8 +397,8 @@ class Mart:
 
     @cached_property
     def gold_claims(self) -> DataFrame:
-        df = gold_claims(self.silver_claims, self.tiebreaks.get("claims"))
-        return self._store("gold_claims", df)
+        kept = kept_claims(self.silver_claims, self.tiebreaks.get("claims"))
+        return self._store("gold_claims", gold_claims(self._store("stage_claims", kept)))
 
     @cached_property
     def gold_revenue_summary(self) -> DataFrame:

@@ -412,7 +412,7 @@ BODIES: dict[str, str] = {
  {GROWTH.format(t='total', p='previous')} AS growth_pct, {_d('previous', 'previous_total')}
  FROM (SELECT *, lag(total) OVER (PARTITION BY o_custkey ORDER BY month) AS previous
   FROM monthly)""",
-    "fanout": """SELECT rows_before, rows_after,
+    "fanout_check": """SELECT rows_before, rows_after,
  round(CAST(rows_after AS DOUBLE) / rows_before, 4) AS fanout FROM (
  SELECT (SELECT count(*) FROM customer) AS rows_before, (SELECT count(*) FROM customer
   LEFT JOIN orders ON o_custkey = c_custkey
@@ -420,7 +420,7 @@ BODIES: dict[str, str] = {
    ON k = c_custkey) AS rows_after)""",
     "provider_retention": """SELECT hcp_id, nbrx_12m, trx_12m,
  round(retention_rate, 6) AS retention_rate FROM s_hcps""",
-    "provider_reach": """SELECT s_suppkey, s_name, count(DISTINCT c_custkey) AS patients_referred,
+    "provider_referral_rollup": """SELECT s_suppkey, s_name, count(DISTINCT c_custkey) AS patients_referred,
  count(DISTINCT c_custkey) FILTER (c_acctbal > 0) AS active_placements,
  round(CAST(count(DISTINCT c_custkey) FILTER (c_acctbal > 0) AS DOUBLE)
   / nullif(count(DISTINCT c_custkey), 0), 3) AS placement_success_rate
@@ -552,14 +552,14 @@ BODIES: dict[str, str] = {
  round(avg(date_diff('day', first_intake, first_placement)), 2) AS avg_days, count(*) AS entities
  FROM steps JOIN cust USING (patient_id) WHERE first_placement IS NOT NULL
  AND quarter(first_intake) = 1 AND year(first_intake) = 1998 GROUP BY channel, device_type""",
-    "masked_last4": """SELECT c_custkey, '***-**-' || right(c_name, 4) AS masked,
+    "mask_last4": """SELECT c_custkey, '***-**-' || right(c_name, 4) AS masked,
  '***-**-' || right(CAST(c_custkey AS VARCHAR), 4) AS masked_short,
  CASE WHEN c_custkey > 9999 THEN '***-**-' || right(CAST(c_custkey AS VARCHAR), 4)
   ELSE '***-**-****' END AS masked_strict FROM customer""",
-    "masked_year": """SELECT o_orderkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS masked
+    "mask_year": """SELECT o_orderkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS masked
  FROM orders""",
-    "masked_redacted": "SELECT c_custkey, '[Redacted]' AS masked FROM customer",
-    "tokenized_key": """SELECT sha256(CAST(c_custkey AS VARCHAR)) AS token,
+    "mask_redact": "SELECT c_custkey, '[Redacted]' AS masked FROM customer",
+    "tokenize_key": """SELECT sha256(CAST(c_custkey AS VARCHAR)) AS token,
  sha256('pepper' || c_name) AS salted_token FROM customer""",
     "sql_function_masks": """SELECT c_custkey, '***-**-' || right(c_name, 4) AS last4,
  '[Redacted]' AS redacted, sha256(c_name) AS token, c_mktsegment = 'US West' AS in_region,
@@ -598,7 +598,7 @@ BODIES: dict[str, str] = {
     "audit_hourly": """SELECT date_trunc('hour', ts) AS action_hour, event_type AS action,
  count(*) AS actions FROM events
  WHERE ts >= TIMESTAMP '2024-01-20 12:30:00' - INTERVAL 1 DAY GROUP BY 1, 2""",
-    "grain_checks": " UNION ALL ".join(
+    "grain_check": " UNION ALL ".join(
         [
             _grain("patients", "patients", "patient_id"),
             _grain("hcps", "hcps", "hcp_id"),

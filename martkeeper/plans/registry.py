@@ -61,8 +61,8 @@ _QUERIES: dict[str, Callable[[ParquetFolder], DataFrame]] = {}
 
 
 def query(function: Callable[[ParquetFolder], DataFrame]) -> Callable[[ParquetFolder], DataFrame]:
-    """Register a function under its own name."""
-    _QUERIES[function.__name__] = function
+    """Register a function under its own name, without ``_query`` at the end."""
+    _QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -214,7 +214,7 @@ def month_growth(src):
 
 
 @query
-def fanout(src):
+def fanout_check_query(src):
     orders = src.scan("orders").select("o_custkey", "o_orderdate")
     months = orders.groupBy("o_custkey", month_start("o_orderdate").alias("m")).agg(
         F.count(F.lit(1)).alias("n")
@@ -234,7 +234,7 @@ def provider_retention(src):
 
 
 @query
-def provider_reach(src):
+def provider_referral_rollup_query(src):
     """Suppliers with the customers they served, where a customer has several suppliers."""
     lines = src.scan("lineitem", ["l_orderkey", "l_suppkey"])
     orders = src.scan("orders", ["o_orderkey", "o_custkey"])
@@ -404,7 +404,7 @@ def _people(src: ParquetFolder) -> DataFrame:
 
 
 @query
-def masked_last4(src):
+def mask_last4_query(src):
     return _people(src).select(
         "c_custkey",
         mask_last4("c_name").alias("masked"),
@@ -414,19 +414,19 @@ def masked_last4(src):
 
 
 @query
-def masked_year(src):
+def mask_year_query(src):
     orders = src.scan("orders", ["o_orderkey", "o_orderdate"])
     day = F.col("o_orderdate").cast("date")
     return orders.select("o_orderkey", mask_dob_year(day).alias("masked"))
 
 
 @query
-def masked_redacted(src):
+def mask_redact_query(src):
     return _people(src).select("c_custkey", mask_redact("c_name").alias("masked"))
 
 
 @query
-def tokenized_key(src):
+def tokenize_key_query(src):
     return _people(src).select(
         tokenize_key(F.col("c_custkey").cast("string")).alias("token"),
         tokenize_key("c_name", salt="pepper").alias("salted_token"),
@@ -573,7 +573,7 @@ def audit_hourly(src):
 
 
 @query
-def grain_checks(src):
+def grain_check_query(src):
     return grain_check(
         {
             "patients": (S.patients(src), ["patient_id"]),

@@ -20,10 +20,26 @@ RECOMMENDED = {
 }
 
 
-def recommend(spark: SparkSession) -> SparkSession:
-    """Set the run-time options above on a session."""
+TASK_BYTES = 128 * 2**20
+
+
+def shuffle_partitions(input_bytes: int, task_bytes: int = TASK_BYTES) -> int:
+    """Partitions that keep a shuffle of the whole input at ``task_bytes`` a task."""
+    return max(1, -(-input_bytes // task_bytes))
+
+
+def recommend(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Set the run-time options above on a session.
+
+    With the size of the input the number of shuffle partitions is raised so that a task's share
+    fits in memory; partitions that turn out small are merged at run time.
+    """
     for key, value in RECOMMENDED.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        key = "spark.sql.shuffle.partitions"
+        wanted = shuffle_partitions(input_bytes)
+        spark.conf.set(key, str(max(wanted, int(spark.conf.get(key)))))
     return spark
 
 

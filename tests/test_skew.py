@@ -76,7 +76,7 @@ def test_claims_of_a_hot_patient(claims, people):
         == (by[(r.patient_id, M.PLACEMENT)] - by[(r.patient_id, M.INTAKE)]).days
         for r in rows
     )
-    gold, split = splits(M.gold_claims(silver))
+    gold, split = splits(M.gold_claims(M.kept_claims(silver)))
     wanted = claims.filter(F.col("claim_type") != M.INTAKE).select("claim_id").distinct().count()
     assert len(gold) == wanted and split >= 1
 

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import types as T
 
-from martkeeper.session import shared_folder
+from martkeeper.session import recommend, shared_folder
 from martkeeper.sources import sinks, tables
 from martkeeper.sources.ingest import with_ingest_metadata
 
@@ -77,6 +77,16 @@ def test_shared_folder_is_the_clusters(tmp_path):
         shared_folder(session(None))
 
 
+def test_shuffle_partitions_follow_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    recommend(spark, input_bytes=2**20)
+    assert spark.conf.get(key) == before
+    recommend(spark, input_bytes=100 * 2**40)
+    assert spark.conf.get(key) == str(100 * 2**40 // (128 * 2**20))
+    spark.conf.set(key, before)
+
+
 def test_scan_and_evaluate(spark, tmp_path, capsys):
     spark.range(4).write.parquet(str(tmp_path / "x.parquet"))
     folder = tables.ParquetFolder(spark, str(tmp_path))
