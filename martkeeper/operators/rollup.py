@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkeeper.functions.calc import guarded_rate
+from martkeeper.functions.calc import flag, guarded_rate
 
 
 def positive_sum(c: str, digits: int = 2) -> Column:
@@ -46,25 +46,27 @@ def referral_rollup(
     """Providers with ``patients_referred``, ``active_placements`` and the rounded share.
 
     Providers without referrals stay, with zero counts and a NULL share. ``unique_entities`` says
-    that the entity key is unique in ``entities``, which lets plain counts replace distinct ones.
+    that the entity key is unique in ``entities``. Otherwise the rows are first reduced to one per
+    provider and entity, which counts each entity once without expanding every row for the two
+    distinct counts.
     """
-    key = F.col(entity_key)
-    if unique_entities:
-        counted = [F.count(key), F.count(F.when(active, key))]
-    else:
-        counted = [F.count_distinct(key), F.count_distinct(F.when(active, key))]
-    per_provider = (
-        entities.filter(F.col(referring).isNotNull())
-        .groupBy(F.col(referring).alias(provider_key))
-        .agg(counted[0].alias("_referred"), counted[1].alias("_active"))
+    referred = entities.filter(F.col(referring).isNotNull()).select(
+        F.col(referring).alias(provider_key),
+        F.col(entity_key).alias("_entity"),
+        flag(active).alias("_active"),
     )
-    referred = F.coalesce(F.col("_referred"), F.lit(0))
-    placed = F.coalesce(F.col("_active"), F.lit(0))
+    if not unique_entities:
+        referred = referred.groupBy(provider_key, "_entity").agg(F.max("_active").alias("_active"))
+    per_provider = referred.groupBy(provider_key).agg(
+        F.count("_entity").alias("_referred"),
+        F.count(F.when(F.col("_active"), F.col("_entity"))).alias("_placed"),
+    )
+    count, placed = (F.coalesce(F.col(c), F.lit(0)) for c in ("_referred", "_placed"))
     return providers.join(per_provider, provider_key, "left").select(
         *providers.columns,
-        referred.alias("patients_referred"),
+        count.alias("patients_referred"),
         placed.alias("active_placements"),
-        guarded_rate(placed, referred).alias("placement_success_rate"),
+        guarded_rate(placed, count).alias("placement_success_rate"),
     )
 
 

@@ -50,7 +50,7 @@ CTES: dict[str, str] = {
   AS segment_priority,
  CASE WHEN s_suppkey % 5 < 2 THEN 't:slim X2' WHEN s_suppkey % 5 < 4 THEN 'Mobi'
   ELSE 'Competitor' END AS primary_device_referred,
- CAST(coalesce(nbrx, 0) AS INTEGER) AS nbrx_12m, CAST(coalesce(trx, 0) AS INTEGER) AS trx_12m
+ coalesce(nbrx, 0) AS nbrx_12m, coalesce(trx, 0) AS trx_12m
  FROM supplier JOIN places ON s_nationkey = n_nationkey
  LEFT JOIN (SELECT l_suppkey, count(*) AS trx, count(*) FILTER (l_returnflag = 'N') AS nbrx
   FROM lineitem GROUP BY l_suppkey) ON s_suppkey = l_suppkey""",

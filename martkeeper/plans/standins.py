@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkeeper.functions.calc import from_units, units
+from martkeeper.functions.calc import from_units, sum_units, units
 from martkeeper.functions.draws import padded_key
 from martkeeper.operators.periods import monthly_sums
 from martkeeper.plans.medallion import INTAKE, PLACEMENT, SHIPMENT
@@ -117,8 +117,8 @@ def hcps(src: ParquetFolder) -> DataFrame:
             .when(key % 5 < 4, "Mobi")
             .otherwise("Competitor")
             .alias("primary_device_referred"),
-            F.coalesce("nbrx", F.lit(0)).cast("int").alias("nbrx_12m"),
-            F.coalesce("trx", F.lit(0)).cast("int").alias("trx_12m"),
+            F.coalesce("nbrx", F.lit(0)).alias("nbrx_12m"),
+            F.coalesce("trx", F.lit(0)).alias("trx_12m"),
         )
     )
 
@@ -157,10 +157,10 @@ def order_money(lines: DataFrame) -> DataFrame:
     price, status = units("l_extendedprice"), F.col("l_linestatus")
     rate = F.lit(100) - units("l_discount") - units("l_tax")
     return lines.groupBy("l_orderkey").agg(
-        F.sum(F.when(status == "F", price).otherwise(0)).alias("upfront"),
-        F.sum(F.when(status == "O", price).otherwise(0)).alias("recurring"),
-        F.sum(price).alias("total"),
-        F.sum(price * rate).alias("margin"),
+        sum_units(F.when(status == "F", price).otherwise(F.lit(0).cast("bigint"))).alias("upfront"),
+        sum_units(F.when(status == "O", price).otherwise(F.lit(0).cast("bigint"))).alias("recurring"),
+        sum_units(price).alias("total"),
+        sum_units(price * rate).alias("margin"),
     )
 
 
@@ -171,7 +171,7 @@ def monthly_money(src: ParquetFolder) -> DataFrame:
     joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
     digits = {"upfront": 2, "recurring": 2, "total": 2, "margin": 4}
     sums = monthly_sums(joined, ["o_custkey"], "o_orderdate", {n: n for n in digits})
-    exact = [from_units(n, d, 16 + d).alias(n) for n, d in digits.items()]
+    exact = [from_units(n, d).alias(n) for n, d in digits.items()]
     return sums.select("o_custkey", "month", *exact)
 
 
@@ -189,7 +189,7 @@ def revenue_summary(src: ParquetFolder) -> DataFrame:
             (F.try_divide(margin.cast("double"), total.cast("double")) * 100).alias(
                 "gross_margin_pct"
             ),
-            (total - margin).cast("decimal(20,4)").alias("fulfillment_cost_usd"),
+            (total - margin).cast("decimal(30,4)").alias("fulfillment_cost_usd"),
             total.alias("total_recognized_usd"),
             margin.alias("margin_usd"),
             "channel",

@@ -88,9 +88,12 @@ def test_lifecycle_is_inclusive_and_null_is_lapsed(spark):
 
 
 def test_units_are_exact(spark):
-    df = spark.createDataFrame([(0.1,), (0.2,), (1.15,), (84197.04,)], "x double")
-    total = df.agg(F.sum(calc.units("x")).alias("u")).select(calc.from_units("u", 2).alias("d"))
-    assert total.first().d == Decimal("84198.49")
+    df = spark.createDataFrame([(0.1,), (0.2,), (1.15,), (84197.04,), (-5.5,)], "x double")
+    total = df.agg(calc.sum_units(calc.units("x")).alias("u"))
+    assert total.select(calc.from_units("u", 2).alias("d")).first().d == Decimal("84192.99")
+    huge = spark.range(30).select(F.lit(9 * 10**17).alias("u")).agg(
+        calc.sum_units(F.col("u")).alias("u"))
+    assert huge.select(calc.from_units("u", 4).alias("d")).first().d == Decimal(27 * 10**14)
 
 
 def test_padded_key_keeps_long_numbers(spark):
