@@ -46,7 +46,7 @@ def referral_rollup(
     """Providers with ``patients_referred``, ``active_placements`` and the rounded share.
 
     Providers without referrals stay, with zero counts and a NULL share. ``unique_entities`` says
-    that the entity key is unique in ``entities``. Otherwise the rows are first reduced to one per
+    that a provider has one row per entity. Otherwise the rows are first reduced to one per
     provider and entity, which counts each entity once without expanding every row for the two
     distinct counts.
     """

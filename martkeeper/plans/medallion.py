@@ -25,7 +25,7 @@ from martkeeper.functions.calc import (
 )
 from martkeeper.operators.conform import dedup_latest
 from martkeeper.operators.joins import attach
-from martkeeper.operators.milestones import milestone_dates, with_cycle_time, with_month_offset
+from martkeeper.operators.milestones import milestone_dates, with_month_offset
 from martkeeper.operators.periods import running_totals, with_calendar, with_growth
 from martkeeper.operators.rollup import entity_rollup, pivot_max, positive_sum, referral_rollup
 from martkeeper.session import shared_folder
@@ -156,11 +156,9 @@ def silver_claims(
         "claim_date",
         first={"start_date": INTAKE, "end_date": PLACEMENT},
     )
-    known = with_cycle_time(
-        patients.select("patient_id", "device_type", "region"),
-        dates,
-        "patient_id",
-        out="days_to_pump_on_body",
+    days = F.datediff("end_date", "start_date").alias("days_to_pump_on_body")
+    known = patients.select("patient_id", "device_type", "region").join(
+        dates.select("patient_id", days), "patient_id", "left"
     )
     rows = with_calendar(attach(bronze_claims, known, ["patient_id"], "inner"), "claim_date")
     return rows.select(
@@ -345,6 +343,7 @@ class Mart:
         self.seeds, self.batch_ts, self.as_of = seeds, batch_ts, as_of
         self.high_value_usd = high_value_usd
         self.tiebreaks = tiebreaks or {}
+        self.stored = store is not None
         self._store = store or (lambda name, df: df)
 
     def _bronze(self, table: str) -> DataFrame:
@@ -396,9 +395,21 @@ class Mart:
         return self._store("gold_patients", df)
 
     @cached_property
-    def gold_claims(self) -> DataFrame:
+    def stage_claims(self) -> DataFrame:
         kept = kept_claims(self.silver_claims, self.tiebreaks.get("claims"))
-        return self._store("gold_claims", gold_claims(self._store("stage_claims", kept)))
+        return self._store("stage_claims", kept)
+
+    @cached_property
+    def gold_claims(self) -> DataFrame:
+        return self._store("gold_claims", gold_claims(self.stage_claims))
+
+    @property
+    def asked_claims(self) -> DataFrame:
+        """The gold claims as the metric views need them.
+
+        No view uses the month offset, so a lazy mart leaves out the join that computes it.
+        """
+        return self.gold_claims if self.stored else self.stage_claims
 
     @cached_property
     def gold_revenue_summary(self) -> DataFrame:

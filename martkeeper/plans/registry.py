@@ -239,9 +239,12 @@ def provider_referral_rollup_query(src):
     lines = src.scan("lineitem", ["l_orderkey", "l_suppkey"])
     orders = src.scan("orders", ["o_orderkey", "o_custkey"])
     who = src.scan("customer", ["c_custkey", "c_acctbal"])
-    served = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        who, F.col("o_custkey") == F.col("c_custkey")
+    pairs = (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .select("l_suppkey", "o_custkey")
+        .distinct()
     )
+    served = pairs.join(who, F.col("o_custkey") == F.col("c_custkey"))
     suppliers = src.scan("supplier", ["s_suppkey", "s_name"])
     return referral_rollup(
         suppliers,
@@ -250,7 +253,6 @@ def provider_referral_rollup_query(src):
         "l_suppkey",
         "o_custkey",
         F.col("c_acctbal") > 0,
-        unique_entities=False,
     )
 
 

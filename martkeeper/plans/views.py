@@ -182,6 +182,7 @@ COMMERCIAL_AND_PAYER = Surface(
 def mart_tables(mart: Mart) -> dict[str, Callable[[], DataFrame]]:
     """The mart's gold tables and the payer segments, each composed when a view needs it."""
     gold = {n: (lambda n=n: getattr(mart, n)) for n in LAYERS if n.startswith("gold_")}
+    gold["gold_claims"] = lambda: mart.asked_claims
     return {**gold, SEGMENT_TABLE: lambda: payer_segments(mart.gold_patients)}
 
 
