@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from martkeeper.operators import grants as G
+from martkeeper.plans.reconcile import reconcile
 from martkeeper.sources import sinks
 
 NOW = datetime(2024, 1, 15, 12, 0, 0)
@@ -78,20 +79,24 @@ def test_cycle_writes_new_version_and_replaces_its_own_audit(spark, tmp_path):
     control, log = str(tmp_path / "access_control"), str(tmp_path / "audit")
     sinks.write_version(edge_grants(spark), control, 1)
     for _ in range(2):  # the second pass repeats the run
-        grants = sinks.read_version(spark, control, 1)
-        actions = G.grant_actions(grants, NOW)
-        sinks.append_run(G.with_audit_id(G.audit_rows(actions, NOW)), log, "run-1")
-        sinks.write_version(G.deactivate_expired(grants, NOW), control, 2)
-    assert sinks.latest_version(spark, control) == 2
-    newest = sinks.read_version(spark, control)
-    assert newest.filter("_active").count() == 3
+        done = reconcile(spark, control, log, 1, "run-1", NOW)
+    assert done.version == sinks.latest_version(spark, control) == 2
+    assert sinks.read_version(spark, control).filter("_active").count() == 3
     audit = sinks.read_merged(spark, log)
-    assert audit.count() == 6
-    highest = spark.range(1).select(G.highest_audit_id(audit).alias("m")).first().m
-    assert highest == 6
-    later = G.audit_rows(G.grant_actions(newest, NOW), NOW + timedelta(minutes=15))
-    sinks.append_run(G.with_audit_id(later, highest), log, "run-2")
-    assert sorted(r.audit_id for r in sinks.read_merged(spark, log).collect()) == list(range(1, 10))
+    assert sorted(r.audit_id for r in audit.collect()) == list(range(1, 7))
+    by_action = {r.action: r.actions for r in done.summary.collect()}
+    assert by_action == {"grant": 3, "revoke": 3}
+    later = reconcile(spark, control, log, 2, "run-2", NOW + timedelta(minutes=15))
+    assert later.version == 3
+    everything = sinks.read_merged(spark, log)
+    assert sorted(r.audit_id for r in everything.collect()) == list(range(1, 10))
+    again = reconcile(spark, control, log, 1, "run-1", NOW)  # a late repeat of the first run
+    assert again.version == 2
+    everything = sinks.read_merged(spark, log)
+    ids = [r.audit_id for r in everything.collect()]
+    assert len(ids) == len(set(ids)) == 9
+    highest = spark.range(1).select(G.highest_audit_id(everything).alias("m")).first().m
+    assert highest == max(ids)
 
 
 def test_audit_by_hour(spark):
