@@ -47,6 +47,13 @@ def test_masks_and_row_filter(people):
     assert gov.secure(people, "other", "gold_patients", ANALYST).count() == 4
 
 
+def test_callers_filters_see_masked_values_only(people):
+    seen = default_governance().secure(people, "analytics", "gold_patients", ANALYST)
+    assert seen.filter("ssn = '521-84-7793' OR patient_name = 'Ann'").count() == 0
+    assert seen.filter("region = 'US East'").count() == 0
+    assert seen.filter("ssn = '***-**-7793'").count() == 1
+
+
 def test_blank_exemption_masks_everyone(people):
     gov = default_governance(exempt=parse_principals(""))
     assert gov.secure(people, "analytics", "gold_patients", STEWARD).count() == 2
