@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkeeper.llm import language_id, quality_rules, token_files, url_rules
+from martkeeper.llm import language_id, near_dups, quality_rules, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("content", "host", "removed_lines")
 
 
+def op9_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.groups(_table(spark, folder, "documents"), width=4)
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_table(spark, folder, "documents"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op4_token_files": op4_token_files,
         "op7_url_rules": op7_url_rules,
         "op8_quality_rules": op8_quality_rules,
+        "op9_near_dups": op9_near_dups,
         "op10_language_id": op10_language_id,
     }
 
