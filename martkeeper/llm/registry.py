@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martkeeper.llm import language_id, near_dups, quality_rules, token_files, url_rules
+from martkeeper.llm import language_id, line_dedup, near_dups, quality_rules, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,18 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's lines that go, and a digest of the text that is left."""
+    left = line_dedup.deduped(_table(spark, folder, "documents"))
+    return left.select(
+        "doc_id",
+        F.size(F.split("text", "\n", -1)).cast("bigint").alias("n_lines_left"),
+        F.size("removed_lines").cast("bigint").alias("n_removed"),
+        "removed_lines",
+        F.xxhash64("text").alias("text_hash"),
+    )
+
+
 def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, folder, "pages"), URL_RULES)
 
@@ -58,6 +71,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op4_token_files": op4_token_files,
+        "op5_line_dedup": op5_line_dedup,
         "op7_url_rules": op7_url_rules,
         "op8_quality_rules": op8_quality_rules,
         "op9_near_dups": op9_near_dups,
