@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkeeper.llm import language_id, line_dedup, near_dups, quality_rules, token_files, url_rules
+from martkeeper.llm import (
+    decontam,
+    language_id,
+    line_dedup,
+    near_dups,
+    quality_rules,
+    sentence_pieces,
+    token_files,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -32,9 +41,19 @@ URL_RULES = [
 ]
 
 
+def op1_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return sentence_pieces.round_trip(documents, tokenizer("piece_bpe_32k.model"))
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold an item, with the item's best window."""
+    return decontam.matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
-    return token_files.token_files(spark, documents, _tokenizer("word_bpe_49k.json")).select(
+    return token_files.token_files(spark, documents, tokenizer("word_bpe_49k.json")).select(
         "doc_id", "start", "n_tokens", "ids_crc32"
     )
 
@@ -70,6 +89,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sentence_pieces": op1_sentence_pieces,
+        "op2_decontamination": op2_decontamination,
         "op4_token_files": op4_token_files,
         "op5_line_dedup": op5_line_dedup,
         "op7_url_rules": op7_url_rules,
