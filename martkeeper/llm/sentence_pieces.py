@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martkeeper.llm import textbytes as tb
 
@@ -257,7 +258,7 @@ def encode(documents: DataFrame, model: str, *keep: str) -> DataFrame:
             columns = [batch.column(c) for c in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, listed], [*keep, "ids"])
 
-    return rows.mapInArrow(run, rows.drop("_whole").schema.add("ids", "array<int>"))
+    return rows.mapInArrow(run, rows.drop("_whole").schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(rows: DataFrame, model: str, *keep: str) -> DataFrame:
