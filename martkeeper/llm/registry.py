@@ -11,12 +11,15 @@ from martkeeper.llm import (
     decontam,
     language_id,
     line_dedup,
+    lm_scoring,
     near_dups,
     quality_rules,
     sentence_pieces,
+    token_counts,
     token_files,
     url_rules,
 )
+from martkeeper.llm.common import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +54,40 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after a load, a second version for texts that aren't English, a clean-up and a removal.
+
+    The load is sent twice, as a retry would; the second commit changes nothing.
+    """
+    import public_tokenizers
+
+    documents = _table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    labels = _table(spark, folder, "labels").select("doc_id", "quality", "toxic")
+    english, many = "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"
+
+    def changes(rows: DataFrame, version: str, op: str) -> DataFrame:
+        counted = token_counts.token_counts(rows, tokenizer(version), public_tokenizers.PATTERN)
+        return counted.withColumn("version", F.lit(version)).withColumn("op", F.lit(op))
+
+    ledger = token_counts.TokenLedger(spark, work_folder(spark, "token-ledger"))
+    load = changes(documents, english, token_counts.INSERT)
+    ledger.commit("load", load)
+    ledger.commit("load", load)
+    foreign = documents.filter("lang IS NULL OR lang <> 'en'")
+    ledger.commit("many languages", changes(foreign, many, token_counts.INSERT))
+    poor = documents.join(labels.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
+    cleaned = poor.withColumn("text", F.regexp_replace(F.trim("text"), r"\s+", " "))
+    ledger.commit("clean-up", changes(cleaned, english, token_counts.REVISE))
+    toxic = labels.filter("toxic = 1").select(
+        "doc_id",
+        F.explode(F.array(F.lit(english), F.lit(many))).alias("version"),
+        F.lit(token_counts.DELETE).alias("op"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (("source", "string"), ("lang", "string"), ("n_tokens", "bigint"))],
+    )
+    ledger.commit("toxic", toxic)
+    return ledger.totals().withColumnsRenamed({"docs": "n_docs", "tokens": "n_tokens"})
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return token_files.token_files(spark, documents, tokenizer("word_bpe_49k.json")).select(
@@ -70,6 +107,11 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return lm_scoring.score(documents, tokenizer("word_bpe_49k.json"))
+
+
 def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, folder, "pages"), URL_RULES)
 
@@ -91,8 +133,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentence_pieces": op1_sentence_pieces,
         "op2_decontamination": op2_decontamination,
+        "op3_token_counts": op3_token_counts,
         "op4_token_files": op4_token_files,
         "op5_line_dedup": op5_line_dedup,
+        "op6_lm_scores": op6_lm_scores,
         "op7_url_rules": op7_url_rules,
         "op8_quality_rules": op8_quality_rules,
         "op9_near_dups": op9_near_dups,
