@@ -30,9 +30,9 @@ from martkeeper.llm import textbytes as tb
 from martkeeper.llm.common import connected, small, written
 
 VALUES = 64
-TREES = 16
+TREES = 32
 STEP = VALUES // TREES
-REACH = 3
+REACH = 6
 AGREE = 38
 FIRST_TREES = 3
 SIMILARITY = 80
