@@ -130,10 +130,11 @@ def _joined(rows: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) -> Data
     table.write.parquet(folder)
     table = spark.read.parquet(folder)
     labels, segments = F.split("host", "\\."), F.split("path", "/")
-    hosts = F.transform(
+    suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
+    hosts = F.array_distinct(F.concat(suffixes, F.array(F.lit(""))))
     closed = F.transform(
         F.sequence(F.lit(0), F.size(segments) - 1),
         lambda i: F.when(i == 0, "").otherwise(F.concat(F.array_join(F.slice(segments, F.lit(1), i), "/"), F.lit("/"))),

@@ -91,7 +91,7 @@ def test_alike_lines_stay_once(spark):
     def words(n):
         return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
     base = words(40)
-    variants = [base] + [base.replace(base.split()[k], "zz", 1) for k in range(1, 30)]
+    variants = [base] + [base[: 5 * k] + "z" + base[5 * k + 1 :] for k in range(1, 30)]
     rows = [(i, f"{words(12)}\nshort line\n{v}", "s") for i, v in enumerate(variants)]
     rows += [(100, f"{base.upper()}\n{base}", "s"), (101, base, "s"), (101, base, "s"), (None, base, "s"), (102, None, "s"), (103, "", "s")]
     frame = docs(spark, rows)
@@ -99,8 +99,11 @@ def test_alike_lines_stay_once(spark):
     assert len(left) == len(rows)
     by_id = {r.doc_id: r for r in left}
     assert by_id[0].removed_lines == [] and by_id[100].removed_lines == [0, 1] and by_id[100].text == ""
-    assert all(by_id[i].removed_lines == [2] and by_id[i].text.endswith("short line") for i in range(1, 30))
+    # A letter changes up to five windows, which flips a few bits of the hash.
+    gone = [i for i in range(1, 30) if by_id[i].removed_lines == [2]]
+    assert len(gone) >= 24 and all(by_id[i].text.endswith("short line") for i in gone)
     assert by_id[None].text == base and by_id[102].text is None and by_id[103].text == ""
+    assert by_id[101].removed_lines == [0]
     ids = {r.doc_id for r in line_dedup.clean(frame).collect()}
     assert 101 not in ids and 100 not in ids and {0, 102, 103, None} <= ids
     assert line_dedup.clean(docs(spark, [])).count() == 0
