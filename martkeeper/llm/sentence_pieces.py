@@ -282,26 +282,28 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 def round_trip(documents: DataFrame, model: str) -> DataFrame:
     """doc_id, ids, n_tokens, ids_crc32 and whether decoding gives the text back."""
-    own = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("own")
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", own)
-    encoded = encode(rows, model, "doc_id", "own")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, offsets = _lists(batch.column("ids"))
-            own = batch.column("own").to_pylist()
-            back = pieces(model).decode(ids, offsets)
+        own = pieces(model)
+        for batch in tb.sliced(batches):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            ids, offsets = own.encode(texts)
+            back = own.decode(ids, offsets)
             raw, cuts = ids.astype("<u4").tobytes(), (offsets * 4).tolist()
-            same = [a.replace(chr(BLANK), " ") == b for a, b in zip(own, back, strict=True)]
+            same = [a.replace(chr(BLANK), " ") == b for a, b in zip(texts, back, strict=True)]
             crc = [zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("ids"), pa.array(np.diff(offsets)),
-                    pa.array(crc, pa.int64()), pa.array(same, pa.bool_()),
+                    batch.column("doc_id"),
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
+                    pa.array(np.diff(offsets)),
+                    pa.array(crc, pa.int64()),
+                    pa.array(same, pa.bool_()),
                 ],
                 ["doc_id", "ids", "n_tokens", "ids_crc32", "same"],
             )
 
-    return encoded.mapInArrow(
+    return rows.mapInArrow(
         run, "doc_id bigint, ids array<int>, n_tokens bigint, ids_crc32 bigint, same boolean"
     )
