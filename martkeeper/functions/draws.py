@@ -22,11 +22,6 @@ def draw(key: str | Column, purpose: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def unit(key: str | Column, purpose: str) -> Column:
-    """Uniform double in [0, 1)."""
-    return draw(key, purpose).cast("double") / F.lit(float(SPAN))
-
-
 def int_between(key: str | Column, purpose: str, low: int, high: int) -> Column:
     """Uniform integer in [low, high], both included."""
     return (F.lit(low) + F.pmod(draw(key, purpose), F.lit(high - low + 1))).cast("int")

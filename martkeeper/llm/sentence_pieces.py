@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from martkeeper.llm import textbytes as tb
 
 BLANK = 0x2581
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 PAIR_BITS = 21
 TOGETHER = 40_000
 

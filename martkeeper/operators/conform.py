@@ -30,7 +30,7 @@ def dedup_latest(
     order: list[Column] = [F.desc_nulls_last(c) for c in order_by]
     order += [F.asc_nulls_last(c) for c in rest]
     if by_digest:
-        group = [F.sha2(F.coalesce(F.col(k).cast("string"), F.lit("\0")), 256) for k in keys]
+        group = [g for k in keys for g in (F.sha2(F.col(k).cast("string"), 256), F.isnull(k))]
     else:
         group = [F.col(k) for k in keys]
     spec = Window.partitionBy(*group).orderBy(*(order or [F.asc(keys[0])]))

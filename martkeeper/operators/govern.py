@@ -81,7 +81,7 @@ class Governance:
         """Tag a column. Key and value must be in the taxonomy, the column in ``columns``."""
         if tag.value not in self.taxonomy.get(tag.key, ()):
             raise GovernanceError(f"no governed tag {tag.key}={tag.value}")
-        if columns is not None and tag.column not in set(columns):
+        if columns is not None and tag.column.lower() not in {c.lower() for c in columns}:
             raise GovernanceError(f"{tag.table} has no column {tag.column}")
         if tag not in self.tags:
             self.tags.append(tag)
@@ -95,10 +95,9 @@ class Governance:
         self.policies[policy.name] = policy
 
     def tagged_columns(self, table: str, key: str, value: str) -> list[str]:
-        """Columns of the table that carry the tag."""
-        return [
-            t.column for t in self.tags if (t.table, t.key, t.value) == (table, key, value)
-        ]
+        """Columns of the table that carry the tag; names are compared without case, as in Spark."""
+        wanted = (table.lower(), key, value)
+        return [t.column for t in self.tags if (t.table.lower(), t.key, t.value) == wanted]
 
     def row_predicate(self, schema: str, table: str, caller: Caller) -> Column | None:
         """Conjunction of the row filters that apply; an unknown result hides the row."""
@@ -115,10 +114,16 @@ class Governance:
             df = df.filter(predicate)
         masked: dict[str, Column] = {}
         for policy, column in self._matches("mask", schema, table, caller):
-            if column in masked:
+            own = [c for c in df.columns if c.lower() == column.lower()]
+            if len(own) != 1:
+                raise GovernanceError(f"{table} has {len(own)} columns named {column}")
+            if own[0] in masked:
                 raise GovernanceError(f"two masks for {table}.{column}")
-            original = df.schema[column].dataType
-            masked[column] = policy.function(F.col(column)).cast(original)
+            mask = policy.function(F.col(own[0]))
+            made = df.select(mask.alias("m")).schema["m"].dataType
+            if made != df.schema[own[0]].dataType:
+                raise GovernanceError(f"{policy.name} turns {table}.{column} into {made.simpleString()}")
+            masked[own[0]] = mask
         return df.withColumns(masked) if masked else df
 
     def blocked_rows(self, df: DataFrame, schema: str, table: str, caller: Caller) -> DataFrame:
@@ -154,9 +159,8 @@ class Governance:
                 (name, t.column, t.key, t.value, t.table)
                 for t in self.tags
                 for name, df in tables.items()
-                if t.column in df.columns and t.column not in self.tagged_columns(
-                    name, t.key, t.value
-                )
+                if t.column.lower() in {c.lower() for c in df.columns}
+                and t.column.lower() not in {c.lower() for c in self.tagged_columns(name, t.key, t.value)}
             }
         )
         return local_rows(spark, rows, _strings("table", "column", "tag", "value", "tagged_in"))

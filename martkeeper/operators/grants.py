@@ -17,6 +17,7 @@ from martkeeper.sources.tables import local_rows
 
 KEY = ["principal_id", "principal_type", "securable_type", "securable_name", "privilege"]
 
+# The columns of the grant table and of the audit log.
 GRANT_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), False) for c in KEY]
     + [
@@ -124,23 +125,35 @@ def audit_rows(
     )
 
 
+def not_applied(actions: DataFrame, log: DataFrame) -> DataFrame:
+    """The actions that differ from the latest action of the same grant in the log."""
+    latest = log.groupBy(*KEY).agg(
+        F.max_by("action", F.struct("action_time", "audit_id")).alias("action")
+    )
+    return actions.join(latest, [*KEY, "action"], "left_anti").select(*actions.columns)
+
+
 COPIES_PER_STEP = 100_000
+ROWS_PER_GROUP = 100_000
 
 
-def with_audit_id(rows: DataFrame, after: int | Column = 0) -> DataFrame:
+def with_audit_id(
+    rows: DataFrame, after: int | Column = 0, rows_per_group: int = ROWS_PER_GROUP
+) -> DataFrame:
     """Number rows ``after + 1`` onward, in an order given by the rows alone.
 
     Equal rows are counted first, so any number of copies is one row in the shuffle. Distinct rows
-    are placed within 4,096 even groups (a digest of the row picks the group), and the groups'
-    offsets are a running sum of 4,096 counts. Copies are then written out again in steps of
-    bounded size. No task holds more than a group, and a rerun gives equal ids.
+    are placed within even groups (the first hexadecimal digits of a digest of the row name the
+    group), as many digits as it takes for ``rows_per_group`` rows, and the groups' offsets are a
+    running sum of their counts. Copies are then written out again in steps of bounded size. No
+    task holds more than a group. The ids follow the digests, whatever the number of groups.
     """
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]
     counted = (
         rows.groupBy(*rows.columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_digest", F.md5(F.concat_ws("|", *parts)))
-        .withColumn("_group", F.substring("_digest", 1, 3))
+        .withColumn("_group", F.substring("_digest", F.lit(1), _digits(rows, rows_per_group)))
     )
     per_group = counted.groupBy("_group").agg(F.sum("_copies").alias("_n"))
     earlier = F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")
@@ -166,6 +179,12 @@ def with_audit_id(rows: DataFrame, after: int | Column = 0) -> DataFrame:
     )
 
 
+def _digits(rows: DataFrame, rows_per_group: int) -> Column:
+    """Hexadecimal digits that make groups of about so many rows, from the number of rows."""
+    share = rows.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(rows_per_group)
+    return F.greatest(F.ceil(F.log(16.0, F.greatest(share, F.lit(1.0)))), F.lit(1)).cast("int")
+
+
 def highest_audit_id(audit: DataFrame) -> Column:
     """The highest id so far as a scalar subquery, 0 for an empty log."""
     return audit.agg(F.coalesce(F.max("audit_id"), F.lit(0)).alias("m")).scalar()
@@ -182,6 +201,7 @@ def audit_by_hour(audit: DataFrame, now: datetime | str | Column) -> DataFrame:
     )
 
 
+# What the two seed tables below contain.
 def seed_grants(
     spark: SparkSession,
     now: datetime,

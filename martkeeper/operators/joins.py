@@ -17,24 +17,25 @@ def attach(
 ) -> DataFrame:
     """Facts with the attributes of their key; ``attributes`` has one row per key.
 
-    ``null_safe`` lets a NULL key match the attributes of the NULL key, as a window would.
+    ``null_safe`` lets a NULL key match the attributes of the NULL key, as a window would. Keys are
+    compared as in any join: types are brought to a common one, so 1 meets 1.0 and 0.0 meets -0.0.
 
     Attributes often come from an aggregate or window over the same key, so Spark would reuse that
     partitioning and shuffle the facts only. Adaptive execution splits a skewed partition only
-    where both sides of the join come straight from a shuffle of their own. The first key of the
-    attributes is therefore rewritten as an expression, which costs a second shuffle of the
-    smaller side and lets a key with a large share of the facts be spread over many tasks. A side
-    that turns out to be small is broadcast instead, as in any join.
+    where both sides of the join come straight from a shuffle of their own. The join therefore also
+    compares whether the first key is NULL, which follows from the keys and so changes no result,
+    but gives both sides a shuffle on one key more. That costs a shuffle of the smaller side and
+    lets a key with a large share of the facts be spread over many tasks. A side that turns out to
+    be small is broadcast instead, as in any join.
     """
     renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
     own = attributes.select(
-        F.concat(F.col(keys[0]).cast("string"), F.lit("")).alias(renamed[keys[0]]),
-        *[F.col(k).alias(renamed[k]) for k in keys[1:]],
+        F.isnull(keys[0]).alias("_key_missing"),
+        *[F.col(k).alias(new) for k, new in renamed.items()],
         *[F.col(c) for c in attributes.columns if c not in renamed],
     )
-    condition = None
+    condition = F.isnull(keys[0]) == F.col("_key_missing")
     for k, new in renamed.items():
-        left = F.col(k).cast("string") if k == keys[0] else F.col(k)
-        term = left.eqNullSafe(F.col(new)) if null_safe else left == F.col(new)
-        condition = term if condition is None else condition & term
-    return facts.join(own, condition, how).drop(*renamed.values())
+        left, right = F.col(k), F.col(new)
+        condition = condition & (left.eqNullSafe(right) if null_safe else left == right)
+    return facts.join(own, condition, how).drop("_key_missing", *renamed.values())

@@ -86,7 +86,7 @@ class MetricCatalog:
         measures: Sequence[str],
         dims: Sequence[str] = (),
         where: Where | None = None,
-        order_by: Sequence[str | Column] | None = None,
+        order_by: Sequence[str | int | Column] | None = None,
         limit: int | None = None,
         post: Mapping[str, Column | str] | None = None,
         with_notice: bool = False,
@@ -96,7 +96,8 @@ class MetricCatalog:
         ``where`` is about dimension names: a mapping of name to value or list of values, a
         function from the mapping of dimension columns to a predicate, or a SQL predicate.
         ``post`` replaces or adds output columns computed from the measures. ``with_notice`` adds
-        ``_uncertified``.
+        ``_uncertified``. ``order_by`` takes names, expressions, or numbers of output columns from
+        1 on, negative ones for descending order.
         """
         view = self.view(name)
         _known(view.name, "measure", measures, view.measures)
@@ -170,6 +171,10 @@ class Surface:
     excluded: Mapping[str, Sequence[str]] = field(default_factory=dict)
     allow_uncertified: Sequence[str] = ()
 
+    def dimensions(self, catalog: MetricCatalog, name: str) -> list[str]:
+        """The dimensions of a view that the surface offers."""
+        return [d for d in catalog.view(name).dimensions if d not in self.excluded.get(name, ())]
+
     def query(
         self,
         catalog: MetricCatalog,

@@ -65,7 +65,7 @@ def distributions(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def row_totals(tables: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
+def row_totals(tables: Mapping[str, tuple[DataFrame, int | Column]]) -> DataFrame:
     """(table, row_count, expected, as_expected)."""
     out = None
     for name, (df, expected) in tables.items():

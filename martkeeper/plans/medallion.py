@@ -15,6 +15,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martkeeper.functions.calc import (
     age_years,
@@ -90,9 +91,27 @@ class Seeds:
     revenue_summary: DataFrame
 
 
+# Digits after the point of the amounts; margins and costs are products of an amount and a rate.
+MONEY = {
+    "claim_amount_usd": 2,
+    "upfront_recognized_usd": 2,
+    "recurring_recognized_usd": 2,
+    "total_recognized_usd": 2,
+    "fulfillment_cost_usd": 4,
+    "margin_usd": 4,
+}
+
+
+def exact_money(df: DataFrame) -> DataFrame:
+    """Amounts as decimals, so that sums don't depend on the order in which rows are added."""
+    inexact = [f.name for f in df.schema if f.name in MONEY and not isinstance(f.dataType, T.DecimalType)]
+    return df.withColumns({c: F.col(c).cast(T.DecimalType(24, MONEY[c])) for c in inexact})
+
+
 def bronze(table: str, df: DataFrame, batch_ts: datetime | str) -> DataFrame:
-    """Raw copy with technical metadata; the patient table is the one with personal data."""
+    """Raw copy with technical metadata and exact amounts; the patient table has personal data."""
     personal = table == "patients"
+    df = exact_money(df)
     return with_ingest_metadata(df, SOURCE_NAME, batch_ts, has_phi=personal, has_pii=personal)
 
 
@@ -185,10 +204,12 @@ def silver_claims(
 def silver_revenue_summary(bronze_revenue: DataFrame, patients: DataFrame) -> DataFrame:
     """Monthly revenue with region, margin check, running totals and growth.
 
-    The table has one row per patient and month, which bounds the windows by the calendar.
+    One row per patient and month is kept, the newest load, so a table that was loaded twice counts
+    once; that bounds the windows by the calendar.
     """
+    monthly = dedup_latest(bronze_revenue, ["patient_id", "month"])
     rows = with_calendar(
-        bronze_revenue.join(patients.select("patient_id", "region"), "patient_id"), "month"
+        monthly.join(patients.select("patient_id", "region"), "patient_id"), "month"
     )
     rows = rows.withColumns(
         {
@@ -343,7 +364,6 @@ class Mart:
         self.seeds, self.batch_ts, self.as_of = seeds, batch_ts, as_of
         self.high_value_usd = high_value_usd
         self.tiebreaks = tiebreaks or {}
-        self.stored = store is not None
         self._store = store or (lambda name, df: df)
 
     def _bronze(self, table: str) -> DataFrame:
@@ -403,14 +423,6 @@ class Mart:
     def gold_claims(self) -> DataFrame:
         return self._store("gold_claims", gold_claims(self.stage_claims))
 
-    @property
-    def asked_claims(self) -> DataFrame:
-        """The gold claims as the metric views need them.
-
-        No view uses the month offset, so a lazy mart leaves out the join that computes it.
-        """
-        return self.gold_claims if self.stored else self.stage_claims
-
     @cached_property
     def gold_revenue_summary(self) -> DataFrame:
         df = gold_revenue_summary(self.silver_revenue_summary)

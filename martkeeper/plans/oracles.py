@@ -196,9 +196,9 @@ CTES |= {
     "n_hcps": "SELECT count(*) AS n FROM supplier",
     "made_hcps": f"""SELECT {HCP.format('id')} AS hcp_id,
  {_pick(ID, 'hcp-first', FIRST)} || ' ' || {_pick(ID, 'hcp-last', LAST)} AS hcp_name,
- {_pick(ID, 'hcp-facility', ['Regional Diabetes Center', 'County Medical Center',
-  'Endocrinology Associates', 'Community Health Clinic', 'University Hospital',
-  'Specialty Care Group'])} AS facility,
+ {_pick(ID, 'hcp-facility', ['Lakeside Practice', 'Northgate Hospital',
+  'Hillcrest Clinic', 'Riverbend Care', 'Old Mill Surgery',
+  'Harbour Medical House'])} AS facility,
  {_pick(ID, 'hcp-specialty', ['Endocrinologist', 'Diabetes Specialist', 'PCP', 'Nurse Educator',
   'PA-NP'])} AS specialty,
  {_weighted(ID, 'hcp-role', {'prescriber': 70, 'influencer': 30})} AS role_type,
@@ -561,10 +561,28 @@ BODIES: dict[str, str] = {
     "mask_redact": "SELECT c_custkey, '[Redacted]' AS masked FROM customer",
     "tokenize_key": """SELECT sha256(CAST(c_custkey AS VARCHAR)) AS token,
  sha256('pepper' || c_name) AS salted_token FROM customer""",
+    "surface_without_excluded": f"""SELECT month AS "Month", {CH}, {DEV}, region AS "Region",
+ {PERIOD_DIMS}, is_break_even AS "Is Break Even",
+ {_sum('total_recognized_usd', 'Total Revenue USD')} FROM g_revenue
+ GROUP BY month, channel, device_type, region, quarter_num, year_num, is_break_even""",
+    "sandbox_segments_masked": "SELECT * REPLACE (sha256(patient_id) AS patient_id) FROM segment",
+    "row_totals": """SELECT 'gold_patients' AS table_name, (SELECT count(*) FROM g_patients) AS row_count,
+ (SELECT count(*) FROM customer) AS expected, row_count = expected AS as_expected
+ UNION ALL SELECT 'gold_hcp', (SELECT count(*) FROM supplier), (SELECT count(*) FROM supplier), true""",
+    "ordered_by_ordinal": f"""SELECT {CH}, {DEV}, {_sum('total_recognized_usd', 'Total Revenue USD')},
+ {_patients()} FROM g_revenue WHERE is_break_even GROUP BY channel, device_type
+ ORDER BY 3 DESC, 1, 2 LIMIT 4""",
+    "masks_of_missing": """SELECT c_custkey, '***-**-' || right(n, 4) AS last4,
+ CASE WHEN length(n) > 4 THEN '***-**-' || right(n, 4) WHEN n IS NOT NULL THEN '***-**-****' END AS strict,
+ CASE WHEN n IS NOT NULL THEN '[Redacted]' END AS redacted
+ FROM (SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN left(c_name, c_custkey % 7) END AS n
+ FROM customer)""",
     "sql_function_masks": """SELECT c_custkey, '***-**-' || right(c_name, 4) AS last4,
- '[Redacted]' AS redacted, sha256(c_name) AS token, c_mktsegment = 'US West' AS in_region,
+ CASE WHEN c_name IS NOT NULL THEN '[Redacted]' END AS redacted, sha256(c_name) AS token,
+ c_custkey % 3 = 0 AS in_region,
  CAST(date_trunc('year', DATE '1990-06-15' + CAST(c_custkey % 1000 AS INTEGER)) AS DATE)
-  AS year_start FROM customer""",
+  AS year_start FROM (SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS c_name
+ FROM customer)""",
     "region_rows": "SELECT patient_id, region FROM patients WHERE region IN ('AMERICA', 'ASIA')",
     "secure_patients_analyst": f"""SELECT * REPLACE (sha256(patient_id) AS patient_id,
  '***-**-' || right(ssn, 4) AS ssn, CAST(date_trunc('year', dob) AS DATE) AS dob,

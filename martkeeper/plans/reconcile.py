@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,29 +29,35 @@ def reconcile(
     run_id: str,
     now: datetime | str,
     executed_by: str = G.EXECUTOR,
+    diff: bool = False,
 ) -> Reconciled:
     """Bring version ``version`` of the grant table up to ``now``.
 
     Valid rows are granted again and expired ones revoked, one audit row each; expired rows are
-    marked inactive in version ``version + 1``. Repeating a run with the same arguments rewrites
-    its own audit rows and version, so a job that failed half-way can simply be started again.
+    marked inactive in version ``version + 1``. With ``diff`` only what differs from the applied
+    state is done and logged: the applied state of a grant is its latest action in the log. A log
+    that was seeded with plain rows is taken as it is. Repeating a run with the same arguments
+    rewrites its own audit rows and version, so a job that failed half-way can simply be started
+    again.
     """
     grants = sinks.read_version(spark, grants_path, version)
     actions = G.grant_actions(grants, now)
-    numbered = G.with_audit_id(
-        G.audit_rows(actions, now, executed_by), _last_id(spark, audit_path, run_id)
-    )
+    log = _other_runs(spark, audit_path, run_id)
+    last = 0
+    if log is not None:
+        last = log.agg(F.coalesce(F.max("audit_id"), F.lit(0))).first()[0]
+        if diff:
+            actions = G.not_applied(actions, log)
+    numbered = G.with_audit_id(G.audit_rows(actions, now, executed_by), last)
     sinks.append_run(numbered, audit_path, run_id)
     sinks.write_version(G.deactivate_expired(grants, now), grants_path, version + 1)
     summary = G.audit_by_hour(sinks.read_merged(spark, audit_path), now)
     return Reconciled(version + 1, actions, summary)
 
 
-def _last_id(spark: SparkSession, audit_path: str, run_id: str) -> int:
-    """The highest id of the other runs, 0 for a log that does not exist yet."""
-    try:
-        log = sinks.read_merged(spark, audit_path)
-    except AnalysisException:
-        return 0
-    others = log.filter(F.col(sinks.RUN) != run_id)
-    return others.agg(F.coalesce(F.max("audit_id"), F.lit(0))).first()[0]
+def _other_runs(spark: SparkSession, audit_path: str, run_id: str) -> DataFrame | None:
+    """The log without the rows of this run, None if there is no log yet."""
+    if not sinks.folder_names(spark, audit_path):
+        return None
+    log = sinks.read_merged(spark, audit_path)
+    return log.filter(~F.col(sinks.RUN).eqNullSafe(run_id)) if sinks.RUN in log.columns else log

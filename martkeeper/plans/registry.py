@@ -24,7 +24,13 @@ from martkeeper.functions.masks import (
 )
 from martkeeper.operators import grants as G
 from martkeeper.operators.conform import dedup_latest
-from martkeeper.operators.govern import CERTIFIED_SCHEMA, Caller, default_governance, entitled_rows
+from martkeeper.operators.govern import (
+    CERTIFIED_SCHEMA,
+    SANDBOX_SCHEMA,
+    Caller,
+    default_governance,
+    entitled_rows,
+)
 from martkeeper.operators.metrics import MetricCatalog
 from martkeeper.operators.milestones import cycle_time_by, cycle_times, with_month_offset
 from martkeeper.operators.milestones import milestone_dates, with_cycle_time
@@ -35,12 +41,20 @@ from martkeeper.operators.quality import (
     distributions,
     grain_check,
     level_order,
+    row_totals,
 )
 from martkeeper.operators.rollup import fanout_check, referral_rollup
 from martkeeper.plans import medallion as M
 from martkeeper.plans import questions as Q
 from martkeeper.plans import standins as S
-from martkeeper.plans.views import COMMERCIAL_AND_PAYER, mart_tables, metric_catalog
+from martkeeper.plans.views import (
+    COMMERCIAL,
+    COMMERCIAL_AND_PAYER,
+    SEGMENT_TABLE,
+    mart_tables,
+    metric_catalog,
+)
+from martkeeper.session import prepare
 from martkeeper.sources import seeds as gen
 from martkeeper.sources.ingest import with_ingest_metadata
 from martkeeper.sources.tables import ParquetFolder
@@ -84,9 +98,7 @@ def plain(df: DataFrame, rounded: Mapping[str, int] | None = None) -> DataFrame:
 
 def _mart(src: ParquetFolder) -> M.Mart:
     seeds = S.StandinSeeds(src)
-    return M.build(
-        seeds, BATCH_TS, AS_OF, high_value_usd=HIGH_VALUE_USD, tiebreaks=seeds.TIEBREAKS
-    )
+    return M.build(seeds, BATCH_TS, AS_OF, high_value_usd=HIGH_VALUE_USD)
 
 
 def _catalog(src: ParquetFolder) -> MetricCatalog:
@@ -437,19 +449,74 @@ def tokenize_key_query(src):
 
 @query
 def sql_function_masks(src):
-    """The masks as SQL functions."""
+    """The masks as SQL functions; names are missing for some keys, and regions repeat the rule's."""
     register_sql_functions(src.spark)
-    people = src.scan("customer").select("c_custkey", "c_name", "c_mktsegment")
+    key = F.col("c_custkey")
+    people = src.scan("customer").select(
+        "c_custkey",
+        F.when(key % 5 != 0, F.col("c_name")).alias("c_name"),
+        F.element_at(F.array(*map(F.lit, gen.REGIONS)), (key % 3 + 1).cast("int")).alias("region"),
+    )
     return people.selectExpr(
         "c_custkey",
         "mask_last4(c_name) AS last4",
         "mask_redact(c_name) AS redacted",
         "tokenize_key(c_name) AS token",
-        "region_row_filter(c_mktsegment) AS in_region",
+        "region_row_filter(region) AS in_region",
         "mask_dob_year(DATE '1990-06-15' + INT(c_custkey % 1000)) AS year_start",
     )
 
 
+@query
+def masks_of_missing(src):
+    """NULL and short values under the masks."""
+    name = F.when(F.col("c_custkey") % 5 != 0, F.substring("c_name", F.lit(1), (F.col("c_custkey") % 7).cast("int")))
+    people = src.scan("customer").select("c_custkey", name.alias("name"))
+    return people.select(
+        "c_custkey",
+        mask_last4("name").alias("last4"),
+        mask_last4_strict("name").alias("strict"),
+        mask_redact("name").alias("redacted"),
+    )
+
+
+@query
+def surface_without_excluded(src):
+    """Every dimension that a restricted surface offers of a view with a hidden one."""
+    catalog = _catalog(src)
+    dims = COMMERCIAL.dimensions(catalog, "mv_recognized_revenue")
+    df = COMMERCIAL.query(catalog, "mv_recognized_revenue", ["Total Revenue USD"], sorted(dims))
+    return plain(df)
+
+
+@query
+def sandbox_segments_masked(src):
+    """The sandbox's own policy: keys of the payer segments are tokens for an analyst."""
+    segments = M.payer_segments(_mart(src).gold_patients)
+    return default_governance().secure(segments, SANDBOX_SCHEMA, SEGMENT_TABLE, ANALYST)
+
+
+@query
+def row_totals_query(src):
+    """Gold tables with one row per raw one, beside the rows they should have."""
+    mart = _mart(src)
+    counted = F.count(F.lit(1)).alias("n")
+    tables = {"gold_patients": "customer", "gold_hcp": "supplier"}
+    return row_totals(
+        {n: (getattr(mart, n), src.scan(t).agg(counted).scalar()) for n, t in tables.items()}
+    )
+
+
+@query
+def ordered_by_ordinal(src):
+    """A view sorted by the number of an output column, descending, then by name."""
+    df = _catalog(src).query(
+        "mv_revenue_by_channel", ["Total Revenue USD", "Patient Count"], ["Channel", "Device Type"],
+        order_by=[-3, 1, 2], limit=4,
+    )
+    return plain(df)
+
+
 @query
 def region_rows(src):
     people = S.patients(src).select("patient_id", "region")
@@ -641,7 +708,7 @@ def _provider_numbers(src: ParquetFolder) -> DataFrame:
 
 def _generated(src: ParquetFolder) -> M.Seeds:
     numbers, providers = _patient_numbers(src), _provider_numbers(src)
-    count = providers.agg(F.count(F.lit(1)).alias("n")).scalar()
+    count = gen.dense_providers(providers)
     return M.Seeds(
         gen.generate_patients(numbers, count),
         gen.generate_hcps(providers),
@@ -701,6 +768,6 @@ def queries() -> dict[str, Query]:
     """Each query as a function of session and folder."""
 
     def bound(ask: Callable[[ParquetFolder], DataFrame]) -> Query:
-        return lambda spark, folder: ask(ParquetFolder(spark, folder))
+        return lambda spark, folder: ask(ParquetFolder(prepare(spark, folder), folder))
 
     return {name: bound(ask) for name, ask in _QUERIES.items()}

@@ -15,10 +15,10 @@ from martkeeper.functions.calc import from_units, sum_units, units
 from martkeeper.functions.draws import padded_key
 from martkeeper.operators.periods import monthly_sums
 from martkeeper.plans.medallion import INTAKE, PLACEMENT, SHIPMENT
+from martkeeper.sources.seeds import SPECIALTIES
 from martkeeper.sources.tables import ParquetFolder
 
 CLAIM_TYPES = {"A": INTAKE, "N": PLACEMENT, "R": SHIPMENT}
-SPECIALTIES = ["Endocrinologist", "Diabetes Specialist", "PCP", "Nurse Educator", "PA-NP"]
 
 
 def channel() -> Column:
@@ -50,23 +50,28 @@ def _places(src: ParquetFolder) -> DataFrame:
 
 
 def patients(src: ParquetFolder) -> DataFrame:
-    """Enrolment is the first order; the referring provider is the supplier of its first line."""
+    """Enrolment is the first order; the referring provider is the supplier of its first line.
+
+    The first line of an order and the first order of a customer are minima of one long, which Spark
+    aggregates by hashing; a minimum of a struct would sort all lines and orders before the shuffle.
+    A long holds a line number and a supplier below 2^40, or a day and an order below 2^44.
+    """
     lines = src.scan("lineitem")
     orders = src.scan("orders")
+    line = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_suppkey")
     first_line = lines.groupBy("l_orderkey").agg(
-        F.min(F.struct("l_linenumber", "l_suppkey")).alias("line")
-    )
-    with_line = F.when(
-        F.col("line").isNotNull(),
-        F.struct("o_orderdate", "o_orderkey", F.col("line.l_suppkey").alias("suppkey")),
+        F.min(line).bitwiseAND(2**40 - 1).alias("suppkey")
     )
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint")
+    order = F.shiftleft(day, 44) + F.col("o_orderkey")
     history = (
         orders.join(first_line, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .groupBy("o_custkey")
         .agg(
             F.min("o_orderdate").cast("date").alias("enrolled_date"),
-            F.min(with_line).getField("suppkey").alias("suppkey"),
+            F.min(F.when(F.col("suppkey").isNotNull(), order)).bitwiseAND(2**44 - 1).alias("first"),
         )
+        .join(first_line, F.col("first") == F.col("l_orderkey"), "left")
     )
     key = F.col("c_custkey")
     ssn = F.format_string("%03d-%02d-%04d", 100 + key % 900, 10 + key % 90, 1000 + key % 9000)
@@ -201,9 +206,6 @@ def revenue_summary(src: ParquetFolder) -> DataFrame:
 class StandinSeeds:
     """The raw tables of a folder, composed when they are asked for."""
 
-    # A customer's and a supplier's name identify the row.
-    TIEBREAKS = {"patients": ["patient_name"], "hcps": ["hcp_name"]}
-
     def __init__(self, src: ParquetFolder) -> None:
         self.src = src
 

@@ -12,6 +12,7 @@ from martkeeper.sources.tables import TableRegistry
 
 SEGMENT_TABLE = "patient_payer_segment"
 
+# Names and expressions of the views' dimensions and measures.
 CHANNEL = {"Channel": "channel"}
 DEVICE = {"Device Type": "device_type"}
 REGION = {"Region": "region"}
@@ -32,7 +33,7 @@ REVENUE_BY_CHANNEL = MetricView(
         "Total Margin USD": "SUM(margin_usd)",
         **AVG_MARGIN,
     },
-    comment="Recognized revenue by channel, device and quarter.",
+    comment="What each sales channel brings in, and what is left of it.",
 )
 
 FULFILLMENT_RATE = MetricView(
@@ -93,7 +94,7 @@ RECURRING_REVENUE = MetricView(
         "Avg Monthly Consumable USD": "AVG(recurring_recognized_usd)",
         **AVG_MARGIN,
     },
-    comment="Recurring revenue cohorts by channel, device and lifecycle status.",
+    comment="How much patients in each stage keep spending after the first sale.",
 )
 
 GROSS_MARGIN = MetricView(
@@ -112,7 +113,7 @@ GROSS_MARGIN = MetricView(
         "Blended Margin Pct": "TRY_DIVIDE(CAST(SUM(margin_usd) AS DOUBLE), "
         "CAST(SUM(total_recognized_usd) AS DOUBLE)) * 100",
     },
-    comment="Gross margin percent and amount by channel, device and region.",
+    comment="Margins as the mean of rows and as a share of the revenue.",
 )
 
 HCP_REFERRAL = MetricView(
@@ -182,7 +183,6 @@ COMMERCIAL_AND_PAYER = Surface(
 def mart_tables(mart: Mart) -> dict[str, Callable[[], DataFrame]]:
     """The mart's gold tables and the payer segments, each composed when a view needs it."""
     gold = {n: (lambda n=n: getattr(mart, n)) for n in LAYERS if n.startswith("gold_")}
-    gold["gold_claims"] = lambda: mart.asked_claims
     return {**gold, SEGMENT_TABLE: lambda: payer_segments(mart.gold_patients)}
 
 

@@ -20,6 +20,12 @@ RECOMMENDED = {
 }
 
 
+# Spark's defaults of options that are not already as recommended.
+DEFAULTS = {
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    "spark.sql.shuffle.partitions": "200",
+}
+
 TASK_BYTES = 128 * 2**20
 
 
@@ -61,11 +67,31 @@ def local_session(
     return recommend(session)
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The cluster's shared checkpoint folder; ``fallback`` only where the cluster names none."""
+def prepare(spark: SparkSession, folder: str) -> SparkSession:
+    """:func:`recommend` for a session that is passed in, with the size of the folder it will read.
+
+    Options that were set to something else than Spark's default are left alone.
+    """
+    for key, value in RECOMMENDED.items():
+        if spark.conf.get(key) == DEFAULTS.get(key, value):
+            spark.conf.set(key, value)
+    key = "spark.sql.shuffle.partitions"
+    if spark.conf.get(key) == DEFAULTS[key]:
+        wanted = shuffle_partitions(folder_bytes(spark, folder))
+        spark.conf.set(key, str(max(wanted, int(DEFAULTS[key]))))
+    return spark
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the files under a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share."""
     folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if folder:
-        return folder
-    if fallback is None:
-        raise ValueError(f"{CHECKPOINT_KEY} is not set and no fallback folder was given")
-    return fallback
+    if not folder:
+        raise ValueError(f"{CHECKPOINT_KEY} is not set")
+    return folder

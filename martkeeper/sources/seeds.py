@@ -30,12 +30,12 @@ REFERRED_DEVICE_WEIGHTS = {"t:slim X2": 40, "Mobi": 40, "Competitor": 20}
 DEVICE_WEIGHTS = {"Mobi": 60, "t:slim X2": 40}
 CHANNEL_WEIGHTS = {"DME": 40, "Pharmacy": 30, "DTC": 30}
 FACILITIES = [
-    "Regional Diabetes Center",
-    "County Medical Center",
-    "Endocrinology Associates",
-    "Community Health Clinic",
-    "University Hospital",
-    "Specialty Care Group",
+    "Lakeside Practice",
+    "Northgate Hospital",
+    "Hillcrest Clinic",
+    "Riverbend Care",
+    "Old Mill Surgery",
+    "Harbour Medical House",
 ]
 FIRST_NAMES = ["Ada", "Ben", "Cleo", "Dan", "Eva", "Finn", "Gwen", "Hugo", "Iris", "Jon"]
 LAST_NAMES = ["Ash", "Birch", "Cedar", "Elm", "Hazel", "Larch", "Maple", "Oak", "Pine", "Rowan"]
@@ -62,7 +62,8 @@ def provider_region(number: Column) -> Column:
 def affine_provider(key: Column, region: Column, providers: Column | int) -> Column:
     """Number of the referring provider: 75 % from the entity's own region, the rest from all.
 
-    Needs only the number of providers: no per-region index, no join.
+    Needs only the number of providers: no per-region index, no join. The providers must be numbered
+    0 to ``providers`` - 1 without gaps, as :func:`dense_providers` checks.
     """
     providers = F.lit(providers).cast("bigint") if isinstance(providers, int) else providers
     size = len(REGIONS)
@@ -76,6 +77,16 @@ def affine_provider(key: Column, region: Column, providers: Column | int) -> Col
     return F.when(chance(key, "provider-affinity", 75) & (runs > 0), same_region).otherwise(anyone)
 
 
+def dense_providers(numbers: DataFrame, number: str = "id") -> Column:
+    """The number of providers as a scalar; fails when they aren't numbered 0..n-1 without gaps."""
+    n, distinct = F.count(F.lit(1)), F.count_distinct(F.col(number))
+    dense = (F.min(number) == 0) & (F.max(number) == n - 1) & (distinct == n)
+    checked = F.when(n == 0, 0).when(dense, n).otherwise(
+        F.raise_error(F.lit("providers must be numbered from 0 without gaps")).cast("bigint")
+    )
+    return numbers.agg(checked.alias("n")).scalar()
+
+
 def generate_hcps(numbers: DataFrame, number: str = "id") -> DataFrame:
     """Provider table, one row per number."""
     n = F.col(number)

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from martkeeper.sources.tables import qualified
 
 VERSION = "_version"
 RUN = "_run"
+RUN_MARK = "run-"
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -40,9 +40,12 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def append_run(df: DataFrame, path: str, run_id: str) -> None:
-    """Add the rows of one run. Repeating the run replaces its rows and leaves other runs alone."""
+    """Add the rows of one run. Repeating the run replaces its rows and leaves other runs alone.
+
+    The folder's value carries a mark, so that no run id is taken for a number, a date or nothing.
+    """
     (
-        df.withColumn(RUN, F.lit(run_id))
+        df.withColumn(RUN, F.lit(RUN_MARK + run_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RUN)
@@ -53,20 +56,39 @@ def append_run(df: DataFrame, path: str, run_id: str) -> None:
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """Read a table whose files were written with different column sets.
 
-    Run ids are text even when they look like numbers.
+    Rows of plain appends and of runs may lie side by side; both are read. ``_run`` is the run's own
+    id as text, NULL for plain rows, and missing if there are no runs.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df.withColumn(RUN, F.col(RUN).cast("string")) if RUN in df.columns else df
+    names = folder_names(spark, path)
+    reader = spark.read.option("mergeSchema", "true")
+    runs = [f"{path}/{n}" for n in names if n.startswith(f"{RUN}=")]
+    plain = [f"{path}/{n}" for n in names if not n.startswith(("_", ".")) and n not in runs]
+    if not runs:
+        return reader.parquet(path)
+    own = F.substring(F.col(RUN), len(RUN_MARK) + 1, F.length(RUN))
+    by_run = reader.option("basePath", path).parquet(*runs).withColumn(RUN, own)
+    if not plain:
+        return by_run
+    return spark.read.option("mergeSchema", "true").parquet(*plain).unionByName(
+        by_run, allowMissingColumns=True
+    )
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str] | None:
+    """What a folder contains, by name; None if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    return sorted(s.getPath().getName() for s in files.listStatus(folder))
 
 
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """Create an empty table with the schema unless there is one. True when it was created."""
-    try:
-        spark.read.parquet(path)
+    if folder_names(spark, path) is not None:
         return False
-    except AnalysisException:
-        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
-        return True
+    spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+    return True
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
@@ -76,9 +98,7 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
 
 def latest_version(spark: SparkSession, path: str) -> int:
     """The highest version, from the folder names (a version may have no rows)."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    names = folder_names(spark, path) or []
     versions = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{VERSION}=")]
     if not versions:
         raise ValueError(f"no version in {path}")
@@ -104,12 +124,14 @@ def create_schema(spark: SparkSession, name: str, comment: str | None = None) ->
 
 
 def comment_table(spark: SparkSession, name: str, comment: str) -> None:
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{_quoted(comment)}')")
+    table = qualified(*name.split("."))
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('comment' = '{_quoted(comment)}')")
 
 
 def comment_columns(spark: SparkSession, name: str, comments: Mapping[str, str]) -> None:
+    table = qualified(*name.split("."))
     for column, comment in comments.items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{column}` COMMENT '{_quoted(comment)}'")
+        spark.sql(f"ALTER TABLE {table} ALTER COLUMN {qualified(column)} COMMENT '{_quoted(comment)}'")
 
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:

@@ -112,4 +112,4 @@ class TableRegistry:
 
 def table_type(spark: SparkSession, name: str) -> DataFrame:
     """The ``Type`` row of ``DESCRIBE TABLE EXTENDED`` for a catalog table."""
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Type")
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(*name.split('.'))}").filter(F.col("col_name") == "Type")

@@ -107,7 +107,6 @@ def test_draws_do_not_depend_on_partitioning(spark):
             "id",
             draws.choose_weighted(F.col("id"), "w", {"a": 40, "b": 40, "c": 20}).alias("w"),
             draws.int_between(F.col("id"), "i", 5, 9).alias("i"),
-            draws.unit(F.col("id"), "u").alias("u"),
         )
         return sorted(tuple(r) for r in df.collect())
 
@@ -116,4 +115,3 @@ def test_draws_do_not_depend_on_partitioning(spark):
     share = {w: sum(r[1] == w for r in once) / len(once) for w in "abc"}
     assert abs(share["a"] - 0.4) < 0.04 and abs(share["c"] - 0.2) < 0.04
     assert {r[2] for r in once} == {5, 6, 7, 8, 9}
-    assert all(0 <= r[3] < 1 for r in once)

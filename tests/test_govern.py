@@ -97,11 +97,14 @@ def test_validation(people):
         gov.secure(people, "s", "t", ANALYST)
 
 
-def test_mask_keeps_the_column_type(spark):
+def test_mask_of_another_type_is_refused(spark):
     gov = Governance({"k": ["v"]})
     gov.classify(ColumnTag("t", "d", "k", "v"))
     gov.add_policy(Policy("p", "s", "mask", lambda c: F.date_trunc("YEAR", c), "k", "v"))
     df = spark.createDataFrame([(date(2020, 2, 29),)], "d date")
+    with pytest.raises(GovernanceError, match="into timestamp"):
+        gov.secure(df, "s", "t", ANALYST)
+    gov.add_policy(Policy("p", "s", "mask", lambda c: F.trunc(c, "YEAR"), "k", "v"))
     assert gov.secure(df, "s", "t", ANALYST).first().d == date(2020, 1, 1)
 
 

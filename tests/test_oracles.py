@@ -6,8 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, difference
+from martkeeper.plans.oracles import oracles
+from martkeeper.plans.registry import queries as registered
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = registered(), oracles()
 
 
 @pytest.fixture(scope="module")

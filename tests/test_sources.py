@@ -71,8 +71,7 @@ def test_shared_folder_is_the_clusters(tmp_path):
         conf = SimpleNamespace(get=lambda key, default: folder or default)
         return SimpleNamespace(conf=conf)
 
-    assert shared_folder(session("/shared/x"), str(tmp_path)) == "/shared/x"
-    assert shared_folder(session(None), str(tmp_path)) == str(tmp_path)
+    assert shared_folder(session("/shared/x")) == "/shared/x"
     with pytest.raises(ValueError):
         shared_folder(session(None))
 
