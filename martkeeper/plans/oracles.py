@@ -566,9 +566,10 @@ BODIES: dict[str, str] = {
  {_sum('total_recognized_usd', 'Total Revenue USD')} FROM g_revenue
  GROUP BY month, channel, device_type, region, quarter_num, year_num, is_break_even""",
     "sandbox_segments_masked": "SELECT * REPLACE (sha256(patient_id) AS patient_id) FROM segment",
-    "row_totals": """SELECT 'gold_patients' AS table_name, (SELECT count(*) FROM g_patients) AS row_count,
- (SELECT count(*) FROM customer) AS expected, row_count = expected AS as_expected
- UNION ALL SELECT 'gold_hcp', (SELECT count(*) FROM supplier), (SELECT count(*) FROM supplier), true""",
+    "row_totals": """SELECT *, row_count = expected AS as_expected FROM (
+ SELECT 'gold_patients' AS table_name, (SELECT count(*) FROM g_patients) AS row_count,
+  (SELECT count(*) FROM customer) AS expected
+ UNION ALL SELECT 'gold_hcp', (SELECT count(*) FROM supplier), (SELECT count(*) FROM supplier))""",
     "ordered_by_ordinal": f"""SELECT {CH}, {DEV}, {_sum('total_recognized_usd', 'Total Revenue USD')},
  {_patients()} FROM g_revenue WHERE is_break_even GROUP BY channel, device_type
  ORDER BY 3 DESC, 1, 2 LIMIT 4""",
