@@ -246,7 +246,7 @@ def _short_matches(rows: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without those that match an item; rows without an id are matched by text."""
+    """The documents without those that match an item; a row without an id can't be named and stays."""
     bad = written(matches(documents, benchmark, **options).select("doc_id").distinct(), "contaminated")
     known = bad.filter("doc_id IS NOT NULL")
     kept = documents.join(small(known), "doc_id", "left_anti")
