@@ -133,6 +133,24 @@ def test_every_alike_pair_within_the_radius_is_found(spark):
         assert any(_near(norm[i], norm[j], 20) for j in range(len(lines)) if j != i)
 
 
+def test_edit_distance_within_a_limit():
+    rng = random.Random(6)
+    for _ in range(1500):
+        x = "".join(rng.choice("abé日") for _ in range(rng.randrange(0, 14)))
+        y = list(x)
+        for _ in range(rng.randrange(0, 6)):
+            k = rng.randrange(len(y) + 1)
+            y[k : k + rng.randrange(0, 3)] = rng.choice(["", "a", "bb", "é"])
+        y = "".join(y)
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            row, old = [i], row
+            for j, b in enumerate(y, 1):
+                row.append(min(old[j] + 1, row[j - 1] + 1, old[j - 1] + (a != b)))
+        for limit in (0, 1, 2, 3, 5, 20):
+            assert line_dedup.within(x, y, limit) == (row[-1] <= limit), (x, y, limit)
+
+
 def test_simhash_counts_bits_of_windows():
     from martkeeper.llm import textbytes
 
