@@ -176,3 +176,41 @@ def test_languages_of_held_out_texts(spark, folder):
     assert all(0 <= r.score <= 1 for r in got)
     none = language_id.identify(rows.filter("doc_id < 0")).collect()
     assert none == []
+
+
+def _edited(rng, line, edits):
+    """The line with so many letters replaced, at random places."""
+    out = list(line)
+    for k in rng.sample(range(len(line)), edits):
+        out[k] = rng.choice([c for c in "klmnopq" if c != out[k]])
+    return "".join(out)
+
+
+def _random_line(rng, n):
+    return "".join(rng.choice("abcdefghij") for _ in range(n))
+
+
+@pytest.mark.parametrize(("length", "edits", "recall"), [(30, 3, 0.9), (60, 1, 1), (60, 6, 0.85), (100, 8, 0.9), (130, 13, 0.85), (300, 20, 0.9)])
+def test_alike_lines_share_a_key(length, edits, recall):
+    rng = random.Random(length + edits)
+    first = [_random_line(rng, length) for _ in range(1000)]
+    keys = []
+    for lines in (first, [_edited(rng, line, edits) for line in first]):
+        data, offsets, _, _ = line_dedup.normalized(pa.array(lines))
+        bounds, values = line_dedup.sketch(data, offsets)
+        keys.append([set(values[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)])
+    met = sum(bool(a & b) for a, b in zip(*keys, strict=True)) / 1000
+    assert met >= recall
+
+
+def test_alike_pairs_beyond_the_radius_are_found(spark):
+    rng = random.Random(16)
+    first = [_random_line(rng, n) for n in (60, 100, 200) for _ in range(60)]
+    second = [_edited(rng, line, len(line) // 10) for line in first]
+    rows = [(i, t, "s") for i, t in enumerate(first + second)]
+    alike = {  # by edit distance over all pairs
+        (i, j) for i, x, _ in rows for j, y, _ in rows[:i] if line_dedup.within(x, y, max(len(x), len(y)) * 10 // 100)
+    }
+    assert alike == {(i + 180, i) for i in range(180)}
+    gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
+    assert gone <= {i for i, _ in alike} and len(gone) >= 0.85 * len(alike)
