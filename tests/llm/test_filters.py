@@ -214,3 +214,19 @@ def test_alike_pairs_beyond_the_radius_are_found(spark):
     assert alike == {(i + 180, i) for i in range(180)}
     gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
     assert gone <= {i for i, _ in alike} and len(gone) >= 0.85 * len(alike)
+
+
+def test_a_full_bucket_is_split_and_not_paired(spark, monkeypatch):
+    rng = random.Random(15)
+    def word(n):
+        return "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = word(80)
+    lines = [f"{passage} {word(120)}" for _ in range(300)]
+    copies = [_edited(rng, line, 2) for line in lines[:40]]
+    rows = [(i, t, "s") for i, t in enumerate(lines + copies)]
+    compared = []
+    alike = line_dedup.similar
+    monkeypatch.setattr(line_dedup, "similar", lambda pairs, *a: compared.append(pairs.count()) or alike(pairs, *a))
+    gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
+    assert gone == set(range(300, 340))
+    assert sum(compared) < 340 * 339 // 8
