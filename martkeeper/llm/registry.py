@@ -97,7 +97,7 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's lines that go, and a digest of the text that is left."""
-    left = line_dedup.deduped(_table(spark, folder, "documents"))
+    left = line_dedup.deduped(_table(spark, folder, "documents"), least=1)
     return left.select(
         "doc_id",
         F.size(F.split("text", "\n", -1)).cast("bigint").alias("n_lines_left"),

@@ -230,3 +230,16 @@ def test_a_full_bucket_is_split_and_not_paired(spark, monkeypatch):
     gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
     assert gone == set(range(300, 340))
     assert sum(compared) < 340 * 339 // 8
+
+
+def test_short_lines_stay_once_in_query_and_pipeline(spark, tmp_path):
+    import corpus_pipeline
+    from martkeeper.llm import registry
+
+    rng = random.Random(17)
+    rows = [(i, f"Next  page\n\n日本 7\n{_random_line(rng, 80)}", "s") for i in range(3)] + [(3, "next page", "s"), (4, "next pages", "s")]
+    frame = docs(spark, rows)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.removed_lines for r in registry.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: [], 1: [0, 2], 2: [0, 2], 3: [0], 4: []}
+    assert {r.doc_id for r in corpus_pipeline.lines(spark, frame, "").collect()} == {0, 1, 2, 4}
