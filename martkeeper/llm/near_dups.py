@@ -4,7 +4,9 @@ A document is the set of its distinct shingles. Documents with one set are one n
 put into ``TREES`` orders, each sorted by another rotation of its signature; a node's candidates are
 its neighbours there, as the neighbours share the longest prefix. The depth adapts: a region whose
 first value no other node shares ends there and isn't sorted at all, a dense one is told apart by as
-many values as it takes. A candidate must agree in ``AGREE`` of its signature's values, which a pair
+many values as it takes. A region with more nodes than the neighbours reach is also compared with its
+most central node, then what doesn't agree with that one with the next, until one agrees with nobody:
+so the variants of a common original meet it, however many there are. A candidate must agree in ``AGREE`` of its signature's values, which a pair
 at the threshold misses with a probability below 1e-4; it is linked if the full sets confirm it.
 
 Candidates from a few orders are confirmed first; of the others only those that would connect two
@@ -35,6 +37,8 @@ STEP = VALUES // TREES
 REACH = 6
 AGREE = 38
 FIRST_TREES = 3
+SAMPLE = 24
+HELD = 1 << 17
 SIMILARITY = 80
 
 U64 = np.uint64
@@ -144,8 +148,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within ``REACH`` places of sorted rows; then the first and last rows themselves."""
+    """Pairs within ``REACH`` places of sorted rows and those with central nodes; then the first and
+    last rows themselves."""
     last, head, any_task = None, None, TaskContext.get() is not None
+    held, pivots = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -154,6 +160,20 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = batch.column("signature").cast(pa.binary(4 * VALUES))
         values = np.frombuffer(raw.buffers()[1], ">u4").reshape(-1, VALUES)
         values = values[raw.offset : raw.offset + len(raw)].astype(np.uint32)
+        rows = tree, node, values
+        if held is not None:
+            rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
+        tops = rows[0].astype(np.int64) << 32 | rows[2][:, 0]
+        cuts = np.concatenate([[0], np.flatnonzero(tops[1:] != tops[:-1]) + 1, [len(tops)]])
+        for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+            if to == len(tops) and to - at < HELD:
+                break
+            if to - at > REACH + 1 or pivots is not None:
+                pairs, pivots = _central(*(x[at:to] for x in rows), pivots)
+                yield pairs
+            if to < len(tops):
+                pivots = None
+        held = tuple(x[at if to - at < HELD else to :] for x in rows)
         if last is not None:
             tree, node, values = (np.concatenate(x) for x in zip(last, (tree, node, values), strict=True))
         fresh = 0 if last is None else len(last[0])
@@ -170,6 +190,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
             yield _pairs(low, high, (tree[a] < FIRST_TREES) & (k == 1))
         last = tree[-REACH:], node[-REACH:], values[-REACH:]
+    if held is not None and len(held[0]) and (len(held[0]) > REACH + 1 or pivots is not None):
+        yield _central(*held, pivots)[0]
     if any_task and head is not None:
         tree, node, values = (np.concatenate(x) for x in zip(head, last, strict=True))
         n, big = len(tree), values.astype(">u4")
@@ -180,6 +202,39 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _central(tree: np.ndarray, node: np.ndarray, values: np.ndarray, pivots: tuple | None):
+    """(pairs, pivots) of the rows of one region with its central nodes.
+
+    ``pivots`` (nodes, signatures) come from earlier rows of the region. The most central row is the one
+    that agrees most with rows spread over the region.
+    """
+    left, low, high = np.arange(len(node)), [], []
+    names, marks = ([], []) if pivots is None else (list(x) for x in pivots)
+    for k in range(len(node) + len(names)):
+        if k < len(names):
+            name, mark = names[k], marks[k]
+        else:
+            if len(left) < 2:
+                break
+            rows = values[left]
+            sample = rows[np.linspace(0, len(rows) - 1, min(SAMPLE, len(rows))).astype(int)]
+            best = int(np.argmax(sum((rows == x).sum(1) for x in sample)))
+            name, mark = node[left[best]], rows[best]
+        hit = (values[left] == mark).sum(1) >= AGREE
+        met = node[left[hit]]
+        met = met[met != name]
+        if k >= len(names):
+            if not len(met):
+                break
+            names.append(name)
+            marks.append(mark)
+        low.append(np.minimum(met, name))
+        high.append(np.maximum(met, name))
+        left = left[~hit]
+    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (low, high))
+    return _pairs(a, b, np.full(len(a), tree[0] < FIRST_TREES)), (names, marks)
+
+
 def _pairs(a: np.ndarray, b: np.ndarray, early: np.ndarray) -> pa.RecordBatch:
     n = len(a)
     return pa.RecordBatch.from_arrays(

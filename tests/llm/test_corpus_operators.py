@@ -276,3 +276,23 @@ def test_the_pipeline_keeps_clean_documents(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, frame.filter("doc_id < 0"), str(tmp_path))
         assert empty.count() == 0, name
+
+
+@pytest.mark.parametrize("n", [300, 3000])
+def test_variants_of_one_original_are_one_component(spark, n):
+    rng = random.Random(18)
+    base = sentence(rng, 90).split()
+    texts = [" ".join(base)]
+    for _ in range(n):
+        words = list(base)
+        for k in (rng.randrange(90), rng.randrange(90)):
+            words[k] = sentence(rng, 1)
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    sets = [shingle_set(t, 4) for t in texts]
+    hub = shingle_set(" ".join(base), 4)
+    true = {i for i, s in enumerate(sets) if 100 * len(s & hub) >= 80 * len(s | hub)}
+    assert len(true) > 0.9 * n
+    got = near_dups.groups(docs(spark, list(enumerate(texts))).repartition(3), width=4).collect()
+    component = {r.doc_id: r.component_id for r in got}
+    assert len({component[i] for i in true}) == 1
