@@ -2,7 +2,7 @@
 
 A host's line is boilerplate if more than ``MIN_DOCS`` and more than ``MAX_SHARE`` per cent of the
 host's distinct texts have it; exact copies of a document are one text, so copies alone make no
-line frequent. Boilerplate lines are taken out, and a document that has fewer than ``MIN_WORDS``
+line frequent. With a ``max_share`` of 0 the number of texts is enough, whatever the host's size. Boilerplate lines are taken out, and a document that has fewer than ``MIN_WORDS``
 words or ``MIN_LEFT`` per cent of its words left is rejected, as is one that fails the counts.
 
 Lines are compared as word sequences with A-Z lower-cased; lines without a word never count. A NULL
@@ -136,13 +136,13 @@ def boilerplate(profiles: DataFrame, min_docs: int = MIN_DOCS, max_share: int =
     return seen.join(texts, "host").filter(above).select("host", "line")
 
 
-def judge(documents: DataFrame, min_left: int = MIN_LEFT) -> DataFrame:
+def judge(documents: DataFrame, min_left: int = MIN_LEFT, max_share: int = MAX_SHARE) -> DataFrame:
     """One row per document: its counts, the lines taken out of it, and the verdicts.
 
     ``removed_lines`` has the numbers of the lines (from 0) that are boilerplate.
     """
     profiles = written(profile(documents), "quality")
-    frequent = small(written(boilerplate(profiles), "boilerplate"))
+    frequent = small(written(boilerplate(profiles, max_share=max_share), "boilerplate"))
     key = ["doc_id", "content", "host"]
     found = (
         profiles.select(*key, F.explode(F.array_distinct("lines.line")).alias("line"))

@@ -243,3 +243,14 @@ def test_short_lines_stay_once_in_query_and_pipeline(spark, tmp_path):
     got = {r.doc_id: r.removed_lines for r in registry.op5_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {0: [], 1: [0, 2], 2: [0, 2], 3: [0], 4: []}
     assert {r.doc_id for r in corpus_pipeline.lines(spark, frame, "").collect()} == {0, 1, 2, 4}
+
+
+def test_the_pipeline_removes_frequent_lines_of_a_large_host(spark):
+    import corpus_pipeline
+
+    rng = random.Random(19)
+    text = lambda: " ".join(_random_line(rng, 6) for _ in range(20))
+    rows = [(i, ("Share this page with us\n" if i < 22 else "Seen in a few\n" if i < 42 else "") + text(), "big") for i in range(600)]
+    left = {r.doc_id: r.text for r in corpus_pipeline.quality(spark, docs(spark, rows), "").collect()}
+    assert len(left) == 600 and not any("Share" in t for t in left.values())
+    assert sum("Seen" in t for t in left.values()) == 20  # not above the limit
