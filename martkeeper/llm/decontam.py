@@ -2,11 +2,12 @@
 
 Texts are word sequences, lower-cased, without punctuation. An item of n words is compared with the
 document's windows of n words: the similarity is the weighted Jaccard index of their 5-word shingles,
-each weighted by how often it occurs, and a match has 0.8 or more. An item of fewer than five words is
+each weighted by how often it occurs, and a match has 0.8 or more. A document with fewer words than the
+item is one window, with its own shingles in the union. An item of fewer than five words is
 one shingle, its whole sequence, and matches windows that equal it; an item without words never
 matches.
 
-1. Windows. A similar window shares ``SHARE`` per cent of its shingles with the item, so a document
+1. Windows. A similar window and the item share ``SHARE`` of the shingles of both, so a document
    needs as many places with a shingle of that item, and only windows that contain enough of these
    places are laid, all of them. This loses no match.
 2. SimHash. Each window and item gets a 64-bit SimHash of its weighted shingles. Fingerprints are cut
@@ -33,8 +34,8 @@ from martkeeper.llm.common import small, written
 
 WIDTH = 5
 SIMILARITY = 80
-# 100 * common >= 80 * (2 * n - common) gives 160 / 180 of the n shingles.
-SHARE = 160 / 180
+# 100 * common >= 80 * (n + m - common) gives 80 / 180 of the shingles of item and window.
+SHARE = 80 / 180
 BLOCKS = (13, 13, 13, 13, 12)
 NEAR = 3
 RADIUS = len(BLOCKS) * (NEAR + 1) - 1
@@ -82,16 +83,17 @@ def _short_places(df: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
 
 
 def windows(documents: DataFrame, items: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(doc, doc_id, start, size, shingles) of the windows that may match an item.
+    """(doc, doc_id, start, size, words) of the windows that may match an item of ``size`` words.
 
     ``documents`` has doc, doc_id and words; ``pieces`` (item, shingle, size) is written.
     """
     wanted = small(pieces.select("item", "shingle", "size").distinct(), ITEM_SHINGLES)
-    hits = shingles(documents, "doc").join(wanted, "shingle")
+    counted = documents.withColumn("n", F.size("words"))
+    hits = shingles(counted, "doc", "n").join(wanted, "shingle")
     places = (
-        hits.groupBy("doc", "item", "size")
+        hits.groupBy("doc", "n", "item", "size")
         .agg(F.sort_array(F.collect_set("at")).alias("at"))
-        .withColumn("need", F.ceil((F.col("size") - (WIDTH - 1)) * F.lit(SHARE) - 1e-9).cast("int"))
+        .withColumn("need", F.ceil((F.col("size") + F.least("n", "size") - 2 * (WIDTH - 1)) * F.lit(SHARE) - 1e-9).cast("int"))
         .filter("size(at) >= need")
     )
     # The k-th place is a window's first: the window starts after the place before, no later than
@@ -115,12 +117,13 @@ def windows(documents: DataFrame, items: DataFrame, pieces: DataFrame) -> DataFr
             ).otherwise(F.array().cast("array<int>")),
         )
     )
+    starts = F.when(F.col("n") < F.col("size"), F.array(F.lit(0))).otherwise(starts)
     laid = written(places.select("doc", "size", F.explode(starts).alias("start")).distinct(), "windows")
     docs = laid.select("doc").distinct()
     texts = documents.join(small(written(docs, "hit-docs")), "doc", "left_semi").dropDuplicates(["doc"])
     return (
         laid.join(written(texts, "hit-texts"), "doc")
-        .filter(F.col("start") + F.col("size") <= F.size("words"))
+        .filter((F.col("start") == 0) | (F.col("start") + F.col("size") <= F.size("words")))
         .select("doc", "doc_id", "start", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("words"))
     )
 
@@ -188,8 +191,8 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: int = SIMILA
     )
     laid = windows(rows, items, pieces).select("doc", "doc_id", "start", "size", "words")
     parts = written(
-        shingles(laid, "doc", "doc_id", "start", "size")
-        .groupBy("doc", "doc_id", "start", "size", "shingle")
+        shingles(laid.withColumn("n_words", F.size("words")), "doc", "doc_id", "start", "size", "n_words")
+        .groupBy("doc", "doc_id", "start", "size", "n_words", "shingle")
         .agg(F.count("*").alias("weight")),
         "window-shingles",
     )
@@ -206,17 +209,17 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: int = SIMILA
     )
     item_weights = pieces.select("item", "shingle", F.col("weight").alias("item_weight"))
     totals = pieces.groupBy("item").agg(F.sum("weight").alias("item_all"))
-    all_shingles = F.col("size") - (WIDTH - 1)
+    all_shingles = F.col("n_words") - (WIDTH - 1)
     common = (
         pairs.join(parts, ["doc", "start", "size"])
         .join(item_weights, ["item", "shingle"])
-        .groupBy("doc", "doc_id", "start", "size", "item")
+        .groupBy("doc", "doc_id", "start", "size", "n_words", "item")
         .agg(F.sum(F.least("weight", "item_weight")).alias("common"))
         .join(totals, "item")
     )
     union = all_shingles + F.col("item_all") - F.col("common")
     scored = common.filter(F.col("common") * 100 >= union * similarity).select(
-        "doc", "doc_id", "item", "start", "size", (F.col("common") / union).alias("similarity")
+        "doc", "doc_id", "item", "start", F.col("n_words").alias("size"), (F.col("common") / union).alias("similarity")
     )
     scored = scored.union(_short_matches(rows, items))
     best = scored.groupBy("doc", "doc_id", "item").agg(

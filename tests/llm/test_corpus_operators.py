@@ -296,3 +296,22 @@ def test_variants_of_one_original_are_one_component(spark, n):
     got = near_dups.groups(docs(spark, list(enumerate(texts))).repartition(3), width=4).collect()
     component = {r.doc_id: r.component_id for r in got}
     assert len({component[i] for i in true}) == 1
+
+
+def test_documents_shorter_than_an_item_are_one_window(spark):
+    rng = random.Random(20)
+    item = sentence(rng, 40).split()
+    texts = [item[1:], item[:36], item[3:36], item[4:], item[2:-6], item[:33], item[:32], item[:20], item[:4], item, [*item[:38], "zz"]]
+    want = {}
+    own = {tuple(item[i : i + 5]) for i in range(36)}
+    for i, words in enumerate(texts):
+        rest = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+        share = len(own & rest) / len(own | rest)
+        if share >= 0.8:
+            want[i] = round(share, 9), 0, len(words)
+    assert {0, 1, 3, 9} <= set(want) and not {6, 7, 8} & set(want)
+    rows = docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    got = {r.doc_id: (round(r.similarity, 9), r.start, r.n_words) for r in decontam.matches(rows, bench).collect()}
+    assert got == want
+    assert {r.doc_id for r in decontam.clean(rows, bench).collect()} == set(range(len(texts))) - set(want)
