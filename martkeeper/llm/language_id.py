@@ -7,7 +7,8 @@ second smallest size that the smallest saves, and a prediction is rejected (``ac
 if that margin is narrow. Ties go to the first language in alphabetical order.
 
 Learned from at most ``SAMPLE_TEXTS`` texts of at most ``SAMPLE_CHARS`` characters per language: those
-with the smallest hashes of their ids, so the sample is the same in every run. Rows without a
+with the smallest hashes of their ids, so the sample is the same in every run. A language with longer
+texts only is learned from the beginning of one. Rows without a
 language or text teach nothing. A text that is NULL or has no letter is ``und`` with score 0. Every
 row is predicted from its whole text; a row without an id may be learned from and isn't held out.
 """
@@ -43,11 +44,16 @@ def learn(documents: DataFrame) -> dict[str, bytes]:
 
     The rows are limited per language before the shuffle; the driver gets the sample only.
     """
-    usable = documents.filter(
-        F.col("lang").isNotNull() & F.length("text").between(1, SAMPLE_CHARS)
-    ).select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id").alias("place"))
-    order = Window.partitionBy("lang").orderBy("place", "text")
-    sample = usable.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_TEXTS)
+    usable = documents.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
+        F.col("lang").cast("string").alias("lang"),
+        F.substring("text", 1, SAMPLE_CHARS).alias("text"),
+        F.xxhash64("doc_id").alias("place"),
+        (F.length("text") > SAMPLE_CHARS).alias("long"),
+    )
+    order = Window.partitionBy("lang").orderBy("long", "place", "text")
+    sample = usable.withColumn("n", F.row_number().over(order)).filter(
+        (F.col("n") <= SAMPLE_TEXTS) & (~F.col("long") | (F.col("n") == 1))
+    )
     texts: dict[str, list[str]] = {}
     for row in sample.orderBy("lang", "n").collect():
         texts.setdefault(row["lang"], []).append(row["text"])

@@ -254,3 +254,9 @@ def test_the_pipeline_removes_frequent_lines_of_a_large_host(spark):
     left = {r.doc_id: r.text for r in corpus_pipeline.quality(spark, docs(spark, rows), "").collect()}
     assert len(left) == 600 and not any("Share" in t for t in left.values())
     assert sum("Seen" in t for t in left.values()) == 20  # not above the limit
+
+
+def test_a_language_with_long_texts_only_is_learned(spark):
+    rows = [(1, "ab cd " * 1000, "x"), (2, "ef gh " * 900, "x"), (3, "ij kl", "y"), (4, "mn " * 2000, "y"), (5, "", "z")]
+    learned = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert set(learned) == {"x", "y"} and learned["y"] == b" ij kl " and 3_900 < len(learned["x"]) <= 4_002
