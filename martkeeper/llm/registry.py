@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from martkeeper.llm import (
     decontam,
+    grid_join,
     language_id,
     line_dedup,
     lm_scoring,
     near_dups,
+    phrases,
     quality_rules,
     sentence_pieces,
     token_counts,
     token_files,
     url_rules,
+    whitening,
 )
 from martkeeper.llm.common import work_folder
 
@@ -129,6 +132,19 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_table(spark, folder, "documents"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(_table(spark, folder, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return grid_join.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentence_pieces": op1_sentence_pieces,
@@ -141,6 +157,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_near_dups": op9_near_dups,
         "op10_language_id": op10_language_id,
+        "op11_phrases": op11_phrases,
+        "op12_whitening": op12_whitening,
+        "op13_near_vectors": op13_near_vectors,
     }
 
 
@@ -203,5 +222,61 @@ FROM z
 """
 
 
+_PHRASES = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, ws, unnest(generate_series(1, len(ws) - k + 1)) AS i
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, list_slice(ws, i, i + k - 1) AS ph, count(*) AS a FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, ph, a, unnest(range(1, len(ph))) AS k FROM f WHERE len(ph) > 1 AND a >= 30),
+s AS (
+  SELECT c.lang, c.ph, c.a, k, x.a AS l, y.a AS r,
+    (2000000::HUGEINT * c.a // (x.a::HUGEINT + y.a::HUGEINT))::BIGINT AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.ph = list_slice(c.ph, 1, k)
+  JOIN f y ON y.lang = c.lang AND y.ph = list_slice(c.ph, k + 1, len(c.ph))),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+o AS (
+  SELECT lang, list_slice(ph, i, i + m - 1) AS ph, max(a) AS a
+  FROM (SELECT lang, ph, a, m, unnest(generate_series(1, len(ph) - m + 1)) AS i
+    FROM f, (SELECT unnest([2, 3]) AS m) WHERE m < len(ph) AND a >= 30) GROUP BY ALL),
+u AS (
+  SELECT b.lang, array_to_string(b.ph, ' ') AS phrase, b.a, b.l, b.r, b.score
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.ph = b.ph
+  WHERE o.a IS NULL OR 100::HUGEINT * o.a < 80::HUGEINT * b.a)
+SELECT u.lang, row_number() OVER (PARTITION BY u.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM u JOIN t ON t.lang = u.lang
+QUALIFY row_number() OVER (PARTITION BY u.lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+_NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+k AS (
+  SELECT r, vec_id, e FROM v WHERE e IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM k a JOIN k b
+    ON a.r <> b.r AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(r, s) AS (SELECT r, r FROM v UNION SELECT reach.r, l.b FROM reach JOIN l ON reach.s = l.a),
+c AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.s GROUP BY reach.r),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id,
+  v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.r = v.r LEFT JOIN n ON n.a = v.r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_rules": _URLS, "op8_quality_rules": _QUALITY}
+    return {
+        "op7_url_rules": _URLS,
+        "op8_quality_rules": _QUALITY,
+        "op11_phrases": _PHRASES,
+        "op13_near_vectors": _NEAR_VECTORS,
+    }

@@ -15,4 +15,4 @@ def test_matches_sql(spark, folder, name):
 
 def test_every_operator_has_a_query():
     names = [n.split("_")[0] for n in registry.queries()]
-    assert names == [f"op{n}" for n in range(1, 11)]
+    assert names == [f"op{n}" for n in range(1, 14)]
