@@ -7,6 +7,7 @@ a repeated run gives the same rows. The sweep is one pass over the table, with n
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -125,11 +126,26 @@ def audit_rows(
     )
 
 
+STATE = [*KEY, "action", "action_time", "audit_id"]
+
+
+def latest_actions(log: DataFrame) -> DataFrame:
+    """The applied state: the latest action per grant, by time and then by id."""
+    newest = F.max_by(F.struct("action", "action_time", "audit_id"), F.struct("action_time", "audit_id"))
+    return log.groupBy(*KEY).agg(newest.alias("newest")).select(*KEY, "newest.*")
+
+
+def advanced(state: DataFrame | None, delta: DataFrame | None) -> DataFrame | None:
+    """The applied state after the rows of ``delta``, without a look at older rows."""
+    rows = [d.select(*STATE) for d in (state, delta) if d is not None]
+    if not rows:
+        return None
+    return latest_actions(rows[0] if len(rows) == 1 else rows[0].union(rows[1]))
+
+
 def not_applied(actions: DataFrame, log: DataFrame) -> DataFrame:
-    """The actions that differ from the latest action of the same grant in the log."""
-    latest = log.groupBy(*KEY).agg(
-        F.max_by("action", F.struct("action_time", "audit_id")).alias("action")
-    )
+    """The actions that differ from the latest action of the same grant in a log or a state."""
+    latest = latest_actions(log).select(*KEY, "action")
     return actions.join(latest, [*KEY, "action"], "left_anti").select(*actions.columns)
 
 
@@ -137,28 +153,44 @@ COPIES_PER_STEP = 100_000
 ROWS_PER_GROUP = 100_000
 
 
+def count_copies(rows: DataFrame) -> DataFrame:
+    """Equal rows once, with ``_copies``: any number of copies is one row in a shuffle."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+
 def with_audit_id(
-    rows: DataFrame, after: int | Column = 0, rows_per_group: int = ROWS_PER_GROUP
+    rows: DataFrame,
+    after: int | Column = 0,
+    rows_per_group: int = ROWS_PER_GROUP,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Number rows ``after + 1`` onward, in an order given by the rows alone.
 
-    Equal rows are counted first, so any number of copies is one row in the shuffle. Distinct rows
+    Equal rows are counted first. ``stage`` may write the counted rows somewhere and read them back;
+    they are used three times, for their number, for the offsets and for the ids. Distinct rows
     are placed within even groups (the first hexadecimal digits of a digest of the row name the
     group), as many digits as it takes for ``rows_per_group`` rows, and the groups' offsets are a
     running sum of their counts. Copies are then written out again in steps of bounded size. No
     task holds more than a group. The ids follow the digests, whatever the number of groups.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]
-    counted = (
-        rows.groupBy(*rows.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_digest", F.md5(F.concat_ws("|", *parts)))
-        .withColumn("_group", F.substring("_digest", F.lit(1), _digits(rows, rows_per_group)))
+    counted = count_copies(rows)
+    return numbered(stage(counted) if stage else counted, after, rows_per_group)
+
+
+def numbered(
+    counted: DataFrame, after: int | Column = 0, rows_per_group: int = ROWS_PER_GROUP
+) -> DataFrame:
+    """:func:`with_audit_id` of rows that are counted already."""
+    columns = [c for c in counted.columns if c != "_copies"]
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    digits = _digits(counted, rows_per_group)
+    counted = counted.withColumn("_digest", F.md5(F.concat_ws("|", *parts))).withColumn(
+        "_group", F.substring("_digest", F.lit(1), digits)
     )
     per_group = counted.groupBy("_group").agg(F.sum("_copies").alias("_n"))
     earlier = F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")
     offsets = per_group.select("_group", earlier.alias("_offset"))
-    within = Window.partitionBy("_group").orderBy("_digest", *rows.columns)
+    within = Window.partitionBy("_group").orderBy("_digest", *columns)
     before = F.sum("_copies").over(within) - F.col("_copies")
     steps = F.sequence(
         F.lit(0), F.floor((F.col("_copies") - 1) / COPIES_PER_STEP).cast("bigint")
@@ -175,13 +207,13 @@ def with_audit_id(
         (after + F.col("_offset") + F.col("_before") + F.col("_copy") + 1)
         .cast("bigint")
         .alias("audit_id"),
-        *rows.columns,
+        *columns,
     )
 
 
-def _digits(rows: DataFrame, rows_per_group: int) -> Column:
-    """Hexadecimal digits that make groups of about so many rows, from the number of rows."""
-    share = rows.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(rows_per_group)
+def _digits(counted: DataFrame, rows_per_group: int) -> Column:
+    """Hexadecimal digits that make groups of about so many distinct rows, from their number."""
+    share = counted.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(rows_per_group)
     return F.greatest(F.ceil(F.log(16.0, F.greatest(share, F.lit(1.0)))), F.lit(1)).cast("int")
 
 

@@ -100,13 +100,7 @@ class MetricCatalog:
         1 on, negative ones for descending order.
         """
         view = self.view(name)
-        _known(view.name, "measure", measures, view.measures)
-        _known(view.name, "dimension", dims, view.dimensions)
-        if not measures:
-            raise MetricError(f"{view.name}: at least one measure is needed")
-        rows = self._rows(view, _used_joins(view, measures, dims, where))
-        if where is not None:
-            rows = _apply_where(view, rows, where)
+        rows = self.rows(name, measures, dims, where)
         # Grouped under internal names: a dimension often differs from a source column by case
         # only, which would make the measures ambiguous.
         keys = [F.expr(view.dimensions[d]).alias(f"_d{i}") for i, d in enumerate(dims)]
@@ -123,6 +117,22 @@ class MetricCatalog:
             out = out.orderBy(*order_by)
         return out.limit(limit) if limit is not None else out
 
+    def rows(
+        self,
+        name: str,
+        measures: Sequence[str],
+        dims: Sequence[str] = (),
+        where: Where | None = None,
+    ) -> DataFrame:
+        """The rows that a question aggregates: joined as far as it needs, and filtered."""
+        view = self.view(name)
+        _known(view.name, "measure", measures, view.measures)
+        _known(view.name, "dimension", dims, view.dimensions)
+        if not measures:
+            raise MetricError(f"{view.name}: at least one measure is needed")
+        rows = self._rows(view, _used_joins(view, measures, dims, where))
+        return rows if where is None else _apply_where(view, rows, where)
+
     def join_check(self, name: str) -> DataFrame:
         """(join, keys, duplicate_keys) per declared join; a duplicate key inflates measures."""
         out = None

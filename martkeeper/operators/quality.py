@@ -51,7 +51,12 @@ def distribution(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def distributions(df: DataFrame, *columns: str) -> DataFrame:
-    """(column, value, row_count) of several categories in one pass over the table."""
+    """(column, value, row_count) of several categories in one pass over the table.
+
+    Rows are counted per combination of values first, in the tasks that read them, so what is
+    expanded to one row per column are combinations and not rows.
+    """
+    combined = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     pairs = F.explode(
         F.array(
             *[
@@ -60,8 +65,8 @@ def distributions(df: DataFrame, *columns: str) -> DataFrame:
             ]
         )
     )
-    return df.select(pairs.alias("e")).groupBy("e.column_name", "e.value").agg(
-        F.count(F.lit(1)).alias("row_count")
+    return combined.select(pairs.alias("e"), "_n").groupBy("e.column_name", "e.value").agg(
+        F.sum("_n").alias("row_count")
     )
 
 

@@ -14,6 +14,7 @@ PAT = "printf('PAT-%06d', {})"
 HCP = "printf('HCP-%06d', {})"
 BATCH = "TIMESTAMP '2001-09-01 00:00:00'"
 NOW = "TIMESTAMP '2024-01-04 00:00:00'"
+LATER = "TIMESTAMP '2024-01-05 00:00:00'"
 
 
 def _meta(personal: bool, source: str = "foundation") -> str:
@@ -21,6 +22,12 @@ def _meta(personal: bool, source: str = "foundation") -> str:
     return f"{BATCH} AS _loaded_at, '{source}' AS _source, {p} AS _has_phi, {p} AS _has_pii"
 
 
+def months(to: str, since: str) -> str:
+    """Whole months between two dates, by their numbers of months since year 0."""
+    to_no, since_no = (f"12 * year({c}) + month({c})" for c in (to, since))
+    return f"({to_no}) - ({since_no})"
+
+
 CTES: dict[str, str] = {
     "places": """SELECT n_nationkey, n_name, r_name AS region
  FROM nation JOIN region ON n_regionkey = r_regionkey""",
@@ -95,7 +102,7 @@ CTES: dict[str, str] = {
  CAST(date_diff('day', first_intake, first_placement) AS INTEGER) AS days_to_pump_on_body,
  claim_amount_usd > 50000 AS is_high_value
  FROM claims c JOIN patients p USING (patient_id) JOIN steps USING (patient_id)""",
-    "g_claims": """WITH kept AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+    "g_claims": f"""WITH kept AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
   PARTITION BY claim_id ORDER BY patient_id, claim_date, claim_type, channel, product_line,
    product_sku, claim_amount_usd, units, device_type, region, quarter_num, year_num,
    days_to_pump_on_body NULLS LAST, is_high_value) AS rn
@@ -103,7 +110,7 @@ CTES: dict[str, str] = {
  anchors AS (SELECT patient_id, max(claim_date) AS anchor FROM kept
   WHERE claim_type = 'pump_on_body' GROUP BY patient_id)
  SELECT kept.*, CAST(CASE WHEN claim_type = 'pump_on_body' THEN 0
-  ELSE month(claim_date) - month(anchor) + 12 * (year(claim_date) - year(anchor)) END AS INTEGER)
+  ELSE {months('claim_date', 'anchor')} END AS INTEGER)
   AS month_offset_from_placement FROM kept LEFT JOIN anchors USING (patient_id)""",
     "s_revenue": """SELECT r.*, region,
  CAST(total_recognized_usd AS DOUBLE) * gross_margin_pct / 100 AS margin_calculated_usd,
@@ -130,11 +137,14 @@ CTES: dict[str, str] = {
    sum(CASE WHEN recurring_recognized_usd > 0 THEN recurring_recognized_usd ELSE 0 END)
     AS total_recurring
   FROM revenue GROUP BY patient_id) USING (patient_id)""",
-    "g_hcp": """SELECT h.*, count(DISTINCT p.patient_id) AS patients_referred,
- count(DISTINCT p.patient_id) FILTER (patient_lifecycle_status = 'active') AS active_placements,
- round(CAST(count(DISTINCT p.patient_id) FILTER (patient_lifecycle_status = 'active') AS DOUBLE)
-  / nullif(count(DISTINCT p.patient_id), 0), 3) AS placement_success_rate
- FROM s_hcps h LEFT JOIN g_patients p ON h.hcp_id = p.referring_hcp_id GROUP BY ALL""",
+    "g_hcp": """SELECT h.*, coalesce(referred, 0) AS patients_referred,
+ coalesce(placed, 0) AS active_placements,
+ CASE WHEN referred > 0 THEN round(CAST(placed AS DOUBLE) / referred, 3) END
+  AS placement_success_rate
+ FROM s_hcps h LEFT JOIN (SELECT referring_hcp_id, count(*) AS referred, sum(active) AS placed
+  FROM (SELECT referring_hcp_id, patient_id,
+   max(CAST(patient_lifecycle_status = 'active' AS INTEGER)) AS active
+   FROM g_patients GROUP BY ALL) GROUP BY referring_hcp_id) ON hcp_id = referring_hcp_id""",
     "segment": """SELECT patient_id, CASE channel_primary WHEN 'DME' THEN 'Medicare'
  WHEN 'Pharmacy' THEN 'Commercial' WHEN 'DTC' THEN 'Cash-pay' END AS payer_segment
  FROM g_patients""",
@@ -384,20 +394,20 @@ BODIES: dict[str, str] = {
     "milestone_cycle_time": """SELECT channel, round(avg(date_diff('day', a, b)), 2) AS avg_days,
  count(*) AS entities FROM (SELECT user_id, min(day) FILTER (event_type = 'signup') AS a,
   min(day) FILTER (event_type = 'purchase') AS b FROM visits GROUP BY user_id)
- JOIN cust ON user_id = c_custkey WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY channel""",
+ LEFT JOIN cust ON user_id = c_custkey WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY channel""",
     "self_pivot_cycle_time": """SELECT visits.*,
  CAST(date_diff('day', a, b) AS INTEGER) AS days_to_purchase FROM visits
  LEFT JOIN (SELECT user_id, min(day) AS a FROM visits WHERE event_type = 'signup' GROUP BY 1) s
   USING (user_id)
  LEFT JOIN (SELECT user_id, min(day) AS b FROM visits WHERE event_type = 'purchase' GROUP BY 1) p
   USING (user_id)""",
-    "event_month_offset": """SELECT visits.*, CAST(CASE WHEN event_type = 'purchase' THEN 0
- WHEN event_type IN ('click', 'view') THEN month(day) - month(m) + 12 * (year(day) - year(m)) END
+    "event_month_offset": f"""SELECT visits.*, CAST(CASE WHEN event_type = 'purchase' THEN 0
+ WHEN event_type IN ('click', 'view') THEN {months('day', 'm')} END
  AS INTEGER) AS month_offset FROM visits LEFT JOIN (SELECT user_id, max(day) AS m FROM visits
   WHERE event_type = 'purchase' GROUP BY 1) USING (user_id)""",
     "month_offset_from_placement": f"""SELECT claim_id, patient_id, claim_type, claim_date,
  CAST(CASE WHEN {PLACED} THEN 0 WHEN claim_type = 'consumable_shipment' THEN
- month(claim_date) - month(m) + 12 * (year(claim_date) - year(m)) END AS INTEGER) AS month_offset
+ {months('claim_date', 'm')} END AS INTEGER) AS month_offset
  FROM claims LEFT JOIN (SELECT patient_id, last_placement AS m FROM steps) USING (patient_id)""",
     "monthly_revenue": f"""SELECT o_custkey, month, {_d('upfront')}, {_d('recurring')}, {_d('total')},
  {_d('margin')}, CAST(quarter(month) AS INTEGER) AS quarter_num,
@@ -420,12 +430,16 @@ BODIES: dict[str, str] = {
    ON k = c_custkey) AS rows_after)""",
     "provider_retention": """SELECT hcp_id, nbrx_12m, trx_12m,
  round(retention_rate, 6) AS retention_rate FROM s_hcps""",
-    "provider_referral_rollup": """SELECT s_suppkey, s_name, count(DISTINCT c_custkey) AS patients_referred,
- count(DISTINCT c_custkey) FILTER (c_acctbal > 0) AS active_placements,
- round(CAST(count(DISTINCT c_custkey) FILTER (c_acctbal > 0) AS DOUBLE)
-  / nullif(count(DISTINCT c_custkey), 0), 3) AS placement_success_rate
- FROM supplier LEFT JOIN (lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey) ON s_suppkey = l_suppkey GROUP BY ALL""",
+    "provider_referral_rollup": """WITH served AS (
+  SELECT l_suppkey, count(*) AS referred, sum(good) AS placed FROM (
+   SELECT l_suppkey, c_custkey, max(CAST(c_acctbal > 0 AS INTEGER)) AS good
+   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+   GROUP BY ALL) GROUP BY l_suppkey)
+ SELECT s_suppkey, s_name, coalesce(referred, 0) AS patients_referred,
+ coalesce(placed, 0) AS active_placements,
+ CASE WHEN referred > 0 THEN round(CAST(placed AS DOUBLE) / referred, 3) END
+  AS placement_success_rate
+ FROM supplier LEFT JOIN served ON s_suppkey = l_suppkey""",
     "mv_revenue_by_channel": f"""SELECT {CH}, {DEV}, {PERIOD_DIMS}, {_patients()},
  {_sum('upfront_recognized_usd', 'Total Upfront USD')},
  {_sum('recurring_recognized_usd', 'Total Recurring USD')},
@@ -470,6 +484,15 @@ BODIES: dict[str, str] = {
     "mv_payer_segment_revenue": f"""SELECT payer_segment AS "Payer Segment", {_patients()},
  {_sum('total_recognized_usd', 'Total Revenue USD')}, {_avg('gross_margin_pct', 'Avg Margin Pct')}
  FROM g_revenue LEFT JOIN segment USING (patient_id) GROUP BY payer_segment""",
+    "rollup_by_channel_year": f"""SELECT {CH}, year_num AS "Year", {_patients()},
+ {_sum('total_recognized_usd', 'Total Revenue USD')}, {_sum('margin_usd', 'Total Margin USD')},
+ round(avg(gross_margin_pct), 6) AS "Avg Margin Pct", true AS estimate_within_bound
+ FROM g_revenue WHERE is_break_even GROUP BY ALL""",
+    "rollup_by_device_in_quarter": f"""SELECT {DEV}, {_patients()},
+ {_sum('recurring_recognized_usd', 'Total Recurring USD')}, true AS estimate_within_bound
+ FROM g_revenue WHERE is_break_even AND quarter_num IN (1, 2) AND channel = 'DTC' GROUP BY ALL""",
+    "event_users_by_type": """SELECT event_type, count(DISTINCT user_id) AS users,
+ true AS estimate_within_bound FROM events GROUP BY event_type""",
     "recognized_revenue_by_patient": f"""SELECT patient_id AS "Patient Id", year_num AS "Year",
  {_sum('total_recognized_usd', 'Total Revenue USD')}, {_sum('margin_usd', 'Margin USD')}
  FROM g_revenue WHERE year_num >= 1997 AND is_break_even GROUP BY patient_id, year_num""",
@@ -614,6 +637,15 @@ BODIES: dict[str, str] = {
  securable_type, securable_name, privilege, reason, executed_by))) AS audit_id, * FROM (
  SELECT {NOW} AS action_time, action, principal_id, principal_type, securable_type,
  securable_name, privilege, reason, 'apply_access_control_job' AS executed_by FROM actions)""",
+    "reconcile_cycles": f"""SELECT row_number() OVER (ORDER BY _run, md5(concat_ws('|',
+ CAST(action_time AS VARCHAR), action, principal_id, principal_type, securable_type,
+ securable_name, privilege, reason, executed_by))) AS audit_id, * FROM (
+ SELECT {NOW} AS action_time, action, principal_id, principal_type, securable_type,
+  securable_name, privilege, reason, 'apply_access_control_job' AS executed_by, 'first' AS _run
+ FROM actions UNION ALL
+ SELECT {LATER} AS action_time, 'revoke', principal_id, principal_type, securable_type,
+  securable_name, privilege, 'Access expired', 'apply_access_control_job', 'second'
+ FROM grants WHERE _active AND expires_at > {NOW} AND expires_at <= {LATER})""",
     "audit_hourly": """SELECT date_trunc('hour', ts) AS action_hour, event_type AS action,
  count(*) AS actions FROM events
  WHERE ts >= TIMESTAMP '2024-01-20 12:30:00' - INTERVAL 1 DAY GROUP BY 1, 2""",

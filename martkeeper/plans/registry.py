@@ -5,6 +5,8 @@ Each query reads whole tables. Results are lazy; clocks are fixed so that reruns
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +46,17 @@ from martkeeper.operators.quality import (
     row_totals,
 )
 from martkeeper.operators.rollup import fanout_check, referral_rollup
+from martkeeper.operators.sketches import (
+    MetricRollup,
+    distinct_rollup,
+    roll_up,
+    united,
+    within_bound,
+)
 from martkeeper.plans import medallion as M
 from martkeeper.plans import questions as Q
 from martkeeper.plans import standins as S
+from martkeeper.plans.reconcile import hourly_summary, reconcile
 from martkeeper.plans.views import (
     COMMERCIAL,
     COMMERCIAL_AND_PAYER,
@@ -57,6 +67,15 @@ from martkeeper.plans.views import (
 from martkeeper.session import prepare
 from martkeeper.sources import seeds as gen
 from martkeeper.sources.ingest import with_ingest_metadata
+from martkeeper.sources.runlog import RunLog
+from martkeeper.sources.sinks import read_version, write_version
+from martkeeper.sources.stored import (
+    LayerStore,
+    code_fingerprint,
+    input_fingerprint,
+    staged,
+    work_root,
+)
 from martkeeper.sources.tables import ParquetFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +83,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 BATCH_TS = "2001-09-01 00:00:00"
 AS_OF = "2001-08-01"
 NOW = "2024-01-04 00:00:00"
+LATER = "2024-01-05 00:00:00"
 AUDIT_NOW = "2024-01-20 12:30:00"
 QUARTER, YEAR = 1, 1998
 HIGH_VALUE_USD = 50000
@@ -96,9 +116,39 @@ def plain(df: DataFrame, rounded: Mapping[str, int] | None = None) -> DataFrame:
     return df.select(*out)
 
 
+# Raw tables that the layers are derived from, and the layers that are written: those which several
+# others read. The rest are projections and joins of these.
+RAW = ("customer", "lineitem", "nation", "orders", "region", "supplier")
+WRITTEN = (
+    "order_facts",
+    "bronze_claims",
+    "bronze_revenue_summary",
+    "silver_patients",
+    "stage_claims",
+    "gold_patients",
+    "gold_claims",
+    "gold_revenue_summary",
+    "gold_hcp",
+)
+
+
+def layer_store(src: ParquetFolder) -> LayerStore:
+    """The layers of a folder, under the fingerprint of its files, the parameters and the code."""
+    files = input_fingerprint(src.spark, [f"{src.folder}/{t}.parquet" for t in RAW])
+    parameters = (files, BATCH_TS, AS_OF, HIGH_VALUE_USD, code_fingerprint())
+    return LayerStore(src.spark, repr(parameters), partition_by=dict.fromkeys(M.PARTITIONED, M.PERIOD))
+
+
 def _mart(src: ParquetFolder) -> M.Mart:
-    seeds = S.StandinSeeds(src)
-    return M.build(seeds, BATCH_TS, AS_OF, high_value_usd=HIGH_VALUE_USD)
+    """The mart over stored layers. Whoever asks first builds what is missing."""
+    store = layer_store(src)
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        return store(name, df) if name in WRITTEN else df
+
+    return M.build(
+        S.StandinSeeds(src, kept), BATCH_TS, AS_OF, high_value_usd=HIGH_VALUE_USD, store=kept
+    )
 
 
 def _catalog(src: ParquetFolder) -> MetricCatalog:
@@ -164,7 +214,7 @@ def _steps(src: ParquetFolder) -> DataFrame:
 def milestone_cycle_time(src):
     days = cycle_times(_steps(src), "user_id", "event_type", "day", "signup", "purchase")
     who = S.customers(src)
-    joined = days.join(who, F.col("user_id") == F.col("c_custkey"))
+    joined = days.join(who, F.col("user_id") == F.col("c_custkey"), "left")
     return cycle_time_by(joined, "channel", digits=2)
 
 
@@ -350,6 +400,55 @@ def join_key_check(src):
     return _catalog(src).join_check("mv_recurring_revenue")
 
 
+ROLLED_UP = "mv_revenue_by_channel"
+
+
+def stored_rollup(src: ParquetFolder) -> MetricRollup:
+    """The states of the view's measures by all its dimensions, kept beside the layers."""
+    store = layer_store(src)
+    catalog = metric_catalog(src.spark, mart_tables(_mart(src)))
+    dims = list(catalog.view(ROLLED_UP).dimensions)
+    return roll_up(catalog, ROLLED_UP, dims, store=lambda df: store(f"rollup_{ROLLED_UP}", df))
+
+
+def _checked(exact: DataFrame, estimated: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact counts, and whether the estimates are within the sketches' bound."""
+    both = exact.join(estimated.withColumnRenamed("Patient Count", "_estimate"), keys)
+    near = within_bound("_estimate", "Patient Count").alias("estimate_within_bound")
+    return both.select(*keys, "Patient Count", *[c for c in estimated.columns if c not in (*keys, "Patient Count")], near)
+
+
+@query
+def rollup_by_channel_year(src):
+    """A stored roll-up asked at a coarser grouping: sums exact, distinct patients by union of sketches."""
+    keys = ["Channel", "Year"]
+    exact = _catalog(src).query(ROLLED_UP, ["Patient Count"], keys)
+    measures = ["Patient Count", "Total Revenue USD", "Total Margin USD", "Avg Margin Pct"]
+    return plain(_checked(exact, stored_rollup(src).query(measures, keys), keys), _QUOTIENTS)
+
+
+@query
+def rollup_by_device_in_quarter(src):
+    """The same roll-up filtered by dimensions that the result doesn't have."""
+    keys, where = ["Device Type"], {"Quarter": [1, 2], "Channel": "DTC"}
+    exact = _catalog(src).query(ROLLED_UP, ["Patient Count"], keys, where)
+    measures = ["Patient Count", "Total Recurring USD"]
+    return plain(_checked(exact, stored_rollup(src).query(measures, keys, where), keys))
+
+
+@query
+def event_users_by_type(src):
+    """Distinct users by event type: exact, and by uniting the sketches of every day and type."""
+    day = F.col("ts").cast("date").alias("day")
+    events = src.scan("events").select("user_id", "event_type", day)
+    daily = distinct_rollup(events, ["event_type", "day"], {"users": "user_id"})
+    estimated = daily.groupBy("event_type").agg(united("users").alias("_estimate"))
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    return exact.join(estimated, "event_type").select(
+        "event_type", "users", within_bound("_estimate", "users").alias("estimate_within_bound")
+    )
+
+
 # Question set ------------------------------------------------------------------------------------
 
 _QUESTIONS = {
@@ -619,7 +718,11 @@ def grant_actions(src):
 
 @query
 def expired_sweep(src):
-    return plain(G.deactivate_expired(_grants(src), NOW))
+    """The sweep as a new version of the grant table, read back."""
+    path = f"{work_root(src.spark)}/grants-{uuid.uuid4().hex}"
+    write_version(_grants(src), path, 1)
+    write_version(G.deactivate_expired(read_version(src.spark, path), NOW), path, 2)
+    return plain(read_version(src.spark, path))
 
 
 @query
@@ -627,15 +730,40 @@ def audit_append(src):
     """Audit rows of one cycle, numbered after the highest id of the earlier log."""
     earlier = src.scan("supplier").select(F.col("s_suppkey").alias("audit_id"))
     rows = G.audit_rows(G.grant_actions(_grants(src), NOW), NOW)
-    return plain(G.with_audit_id(rows, G.highest_audit_id(earlier)))
+    return plain(G.with_audit_id(rows, G.highest_audit_id(earlier), stage=staged))
 
 
 @query
-def audit_hourly(src):
-    log = src.scan("events").select(
-        F.col("ts").cast("timestamp").alias("action_time"), F.col("event_type").alias("action")
+def reconcile_cycles(src):
+    """The log after a cycle, a repeat of it, and a second cycle that logs what has changed since."""
+    root = f"{work_root(src.spark)}/reconcile-{uuid.uuid4().hex}"
+    control, log = f"{root}/control", f"{root}/audit"
+    write_version(_grants(src), control, 1)
+    for version, run, now in ((1, "first", NOW), (1, "first", NOW), (2, "second", LATER)):
+        reconcile(src.spark, control, log, version, run, now, diff=True)
+    return plain(RunLog(src.spark, log).read())
+
+
+def event_log(src: ParquetFolder) -> RunLog:
+    """The events as a log, compacted by day: written once for a state of the table."""
+    files = input_fingerprint(src.spark, [f"{src.folder}/events.parquet"])
+    name = hashlib.sha256(repr((files, code_fingerprint())).encode()).hexdigest()[:32]
+    log = RunLog(src.spark, f"{work_root(src.spark)}/logs/{name}")
+    rows = src.scan("events").select(
+        F.col("event_id").alias("audit_id"),
+        F.col("ts").cast("timestamp").alias("action_time"),
+        F.col("event_type").alias("action"),
     )
-    return plain(G.audit_by_hour(log, AUDIT_NOW))
+    own = log.reservation("load") or log.reserve("load", rows.count())
+    log.commit(own, rows)
+    log.compact()
+    return log
+
+
+@query
+def audit_hourly(src):
+    """The last day of the log; folders of other days aren't read."""
+    return plain(hourly_summary(event_log(src), AUDIT_NOW))
 
 
 # Quality -----------------------------------------------------------------------------------------

@@ -6,6 +6,7 @@ revenue. The mapping is a projection and a few joins; the layers then run as on
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -49,19 +50,15 @@ def _places(src: ParquetFolder) -> DataFrame:
     )
 
 
-def patients(src: ParquetFolder) -> DataFrame:
+def patients(src: ParquetFolder, per_order: DataFrame | None = None) -> DataFrame:
     """Enrolment is the first order; the referring provider is the supplier of its first line.
 
-    The first line of an order and the first order of a customer are minima of one long, which Spark
-    aggregates by hashing; a minimum of a struct would sort all lines and orders before the shuffle.
-    A long holds a line number and a supplier below 2^40, or a day and an order below 2^44.
+    The first order of a customer with lines is the minimum of one long as well, of a day and an
+    order below 2^44; a minimum of a struct would sort all orders before the shuffle.
     """
-    lines = src.scan("lineitem")
+    per_order = order_facts(src) if per_order is None else per_order
+    first_line = per_order.select("l_orderkey", "suppkey")
     orders = src.scan("orders")
-    line = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_suppkey")
-    first_line = lines.groupBy("l_orderkey").agg(
-        F.min(line).bitwiseAND(2**40 - 1).alias("suppkey")
-    )
     day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint")
     order = F.shiftleft(day, 44) + F.col("o_orderkey")
     history = (
@@ -154,25 +151,34 @@ def claims(src: ParquetFolder) -> DataFrame:
     )
 
 
-def order_money(lines: DataFrame) -> DataFrame:
-    """Amounts per order in whole cents, the margin in hundredths of cents.
+def order_facts(src: ParquetFolder) -> DataFrame:
+    """One row per order: its amounts, and the supplier of its first line.
 
-    Combined before the order keys are shuffled.
+    Amounts are whole cents, the margin hundredths of cents. All is combined before the order keys
+    are shuffled. The first line is the minimum of one long, which Spark aggregates by hashing; it
+    holds a line number and a supplier below 2^40.
     """
     price, status = units("l_extendedprice"), F.col("l_linestatus")
     rate = F.lit(100) - units("l_discount") - units("l_tax")
-    return lines.groupBy("l_orderkey").agg(
-        sum_units(F.when(status == "F", price).otherwise(F.lit(0).cast("bigint"))).alias("upfront"),
-        sum_units(F.when(status == "O", price).otherwise(F.lit(0).cast("bigint"))).alias("recurring"),
-        sum_units(price).alias("total"),
-        sum_units(price * rate).alias("margin"),
+    nothing = F.lit(0).cast("bigint")
+    line = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_suppkey")
+    return (
+        src.scan("lineitem")
+        .groupBy("l_orderkey")
+        .agg(
+            sum_units(F.when(status == "F", price).otherwise(nothing)).alias("upfront"),
+            sum_units(F.when(status == "O", price).otherwise(nothing)).alias("recurring"),
+            sum_units(price).alias("total"),
+            sum_units(price * rate).alias("margin"),
+            F.min(line).bitwiseAND(2**40 - 1).alias("suppkey"),
+        )
     )
 
 
-def monthly_money(src: ParquetFolder) -> DataFrame:
-    """Exact amounts per customer and month of the order."""
+def monthly_money(src: ParquetFolder, per_order: DataFrame | None = None) -> DataFrame:
+    """Exact amounts per customer and month of the order, from :func:`order_facts`."""
     orders = src.scan("orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    per_order = order_money(src.scan("lineitem"))
+    per_order = order_facts(src) if per_order is None else per_order
     joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
     digits = {"upfront": 2, "recurring": 2, "total": 2, "margin": 4}
     sums = monthly_sums(joined, ["o_custkey"], "o_orderdate", {n: n for n in digits})
@@ -180,11 +186,11 @@ def monthly_money(src: ParquetFolder) -> DataFrame:
     return sums.select("o_custkey", "month", *exact)
 
 
-def revenue_summary(src: ParquetFolder) -> DataFrame:
+def revenue_summary(src: ParquetFolder, per_order: DataFrame | None = None) -> DataFrame:
     """Monthly revenue; shipped lines are upfront, open ones recurring. Margin varies by row."""
     total, margin = F.col("total"), F.col("margin")
     return (
-        monthly_money(src)
+        monthly_money(src, per_order)
         .join(customers(src), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             padded_key("PAT", "o_custkey").alias("patient_id"),
@@ -204,14 +210,24 @@ def revenue_summary(src: ParquetFolder) -> DataFrame:
 
 
 class StandinSeeds:
-    """The raw tables of a folder, composed when they are asked for."""
+    """The raw tables of a folder, composed when they are asked for.
+
+    ``store`` keeps the facts per order, which patients and revenue share.
+    """
 
-    def __init__(self, src: ParquetFolder) -> None:
+    def __init__(
+        self, src: ParquetFolder, store: Callable[[str, DataFrame], DataFrame] | None = None
+    ) -> None:
         self.src = src
+        self._store = store or (lambda name, df: df)
+
+    @cached_property
+    def order_facts(self) -> DataFrame:
+        return self._store("order_facts", order_facts(self.src))
 
     @cached_property
     def patients(self) -> DataFrame:
-        return patients(self.src)
+        return patients(self.src, self.order_facts)
 
     @cached_property
     def hcps(self) -> DataFrame:
@@ -223,4 +239,4 @@ class StandinSeeds:
 
     @cached_property
     def revenue_summary(self) -> DataFrame:
-        return revenue_summary(self.src)
+        return revenue_summary(self.src, self.order_facts)

@@ -1,23 +1,27 @@
 """Writes: overwrite, append, versioned rewrite, schemas, comments.
 
 Parquet tables have no UPDATE, MERGE or identity columns. A changed table is therefore written as
-a new version next to the old one (a path is never overwritten while the same plan reads it), and
-a run's append lands in its own ``_run`` partition, so that a retried run replaces its own rows
-instead of adding them twice.
+a new version next to the old one (a path is never overwritten while the same plan reads it), which
+counts from the moment its marker exists; and a run's append lands in its own ``_run`` partition, so
+that a retried run replaces its own rows instead of adding them twice. A log whose runs need ids of
+their own, or which several processes append to, is a :class:`~martkeeper.sources.runlog.RunLog`.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martkeeper.sources import markers
+from martkeeper.sources.runlog import COMMITS, RUN, RunLog
 from martkeeper.sources.tables import qualified
 
-VERSION = "_version"
-RUN = "_run"
+VERSIONS, VERSION_DATA = "_versions", "_version_data"
 RUN_MARK = "run-"
 
 
@@ -60,6 +64,8 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     id as text, NULL for plain rows, and missing if there are no runs.
     """
     names = folder_names(spark, path)
+    if COMMITS in (names or []):
+        return RunLog(spark, path).read()
     reader = spark.read.option("mergeSchema", "true")
     runs = [f"{path}/{n}" for n in names if n.startswith(f"{RUN}=")]
     plain = [f"{path}/{n}" for n in names if not n.startswith(("_", ".")) and n not in runs]
@@ -74,13 +80,7 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def folder_names(spark: SparkSession, path: str) -> list[str] | None:
-    """What a folder contains, by name; None if there is no such folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
-    return sorted(s.getPath().getName() for s in files.listStatus(folder))
+folder_names = markers.names
 
 
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
@@ -91,15 +91,50 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bo
     return True
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Write a new version of a table; readers of the previous one are not disturbed."""
-    df.write.mode("overwrite").parquet(f"{path}/{VERSION}={version}")
+class VersionConflict(RuntimeError):
+    """Another writer has published this version of the table."""
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """The highest version, from the folder names (a version may have no rows)."""
-    names = folder_names(spark, path) or []
-    versions = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{VERSION}=")]
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return [int(n) for n in folder_names(spark, f"{path}/{VERSIONS}") or [] if n.isdigit()]
+
+
+def _version_entry(spark: SparkSession, path: str, version: int) -> dict | None:
+    text = markers.read(spark, f"{path}/{VERSIONS}/{version:012d}")
+    return None if text is None else json.loads(text)
+
+
+def write_version(df: DataFrame, path: str, version: int, owner: str | None = None) -> bool:
+    """Write a new version of a table; readers of the previous one are not disturbed.
+
+    The rows are written to a folder of their own and count once the version's marker exists, which
+    only one writer can create: a writer that dies half-way leaves no version. Returns True if the
+    version is made of these rows, False if the same ``owner`` had published it before (a repeated
+    run); raises :class:`VersionConflict` if someone else did.
+    """
+    spark = df.sparkSession
+
+    def mine() -> bool:
+        entry = _version_entry(spark, path, version)
+        if entry is None:
+            return False
+        if owner is None or entry["owner"] != owner:
+            raise VersionConflict(f"version {version} of {path} was published by {entry['owner']!r}")
+        return True
+
+    if mine():
+        return False
+    folder = f"{VERSION_DATA}/{version:012d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    entry = json.dumps({"folder": folder, "owner": owner, "schema": df.schema.json()})
+    if markers.publish(spark, f"{path}/{VERSIONS}/{version:012d}", entry):
+        return True
+    return not mine()
+
+
+def latest_version(spark: SparkSession, path: str, upto: int | None = None) -> int:
+    """The highest published version (which may have no rows), or the highest of those to ``upto``."""
+    versions = [v for v in _versions(spark, path) if upto is None or v <= upto]
     if not versions:
         raise ValueError(f"no version in {path}")
     return max(versions)
@@ -108,7 +143,11 @@ def latest_version(spark: SparkSession, path: str) -> int:
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of a table, by default the newest."""
     version = latest_version(spark, path) if version is None else version
-    return spark.read.parquet(f"{path}/{VERSION}={version}")
+    entry = _version_entry(spark, path, version)
+    if entry is None:
+        raise ValueError(f"no version {version} in {path}")
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    return spark.read.schema(schema).parquet(f"{path}/{entry['folder']}")
 
 
 def replace_table(df: DataFrame, name: str, comment: str | None = None) -> None:
