@@ -68,8 +68,12 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     labels = _table(spark, folder, "labels").select("doc_id", "quality", "toxic")
     english, many = "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"
 
-    def changes(rows: DataFrame, version: str, op: str) -> DataFrame:
-        counted = token_counts.token_counts(rows, tokenizer(version), public_tokenizers.PATTERN)
+    def changes(rows: DataFrame, version: str, op: str, ids: DataFrame | None = None) -> DataFrame:
+        how = tokenizer(version), public_tokenizers.PATTERN
+        if ids is None:
+            counted = token_counts.token_counts(rows, *how)
+        else:
+            counted = token_counts.token_counts_of(rows, ids, *how)
         return counted.withColumn("version", F.lit(version)).withColumn("op", F.lit(op))
 
     ledger = token_counts.TokenLedger(spark, work_folder(spark, "token-ledger"))
@@ -78,9 +82,9 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     ledger.commit("load", load)
     foreign = documents.filter("lang IS NULL OR lang <> 'en'")
     ledger.commit("many languages", changes(foreign, many, token_counts.INSERT))
-    poor = documents.join(labels.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
-    cleaned = poor.withColumn("text", F.regexp_replace(F.trim("text"), r"\s+", " "))
-    ledger.commit("clean-up", changes(cleaned, english, token_counts.REVISE))
+    cleaned = documents.withColumn("text", F.regexp_replace(F.trim("text"), r"\s+", " "))
+    poor = labels.filter("quality = 0").select("doc_id")
+    ledger.commit("clean-up", changes(cleaned, english, token_counts.REVISE, poor))
     toxic = labels.filter("toxic = 1").select(
         "doc_id",
         F.explode(F.array(F.lit(english), F.lit(many))).alias("version"),

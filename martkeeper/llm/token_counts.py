@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkeeper.llm import textbytes as tb
+from martkeeper.llm.common import BROADCAST_ROWS, written
 
 INSERT, REVISE, DELETE = "insert", "revise", "delete"
 GROUP = ["source", "lang", "version"]
@@ -59,8 +60,12 @@ class TokenLedger:
 
     def counts(self) -> DataFrame:
         """The present count of each document and version, with its source and language."""
-        entries = self._read("entries", ENTRY).groupBy("doc_id", "version", "source", "lang")
-        return entries.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0")
+        return self._present(self._read("entries", ENTRY))
+
+    @staticmethod
+    def _present(entries: DataFrame) -> DataFrame:
+        sums = entries.groupBy("doc_id", "version", "source", "lang")
+        return sums.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0")
 
     def totals(self) -> DataFrame:
         """Documents and tokens by source, language and tokenizer version."""
@@ -70,22 +75,26 @@ class TokenLedger:
         )
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Apply a batch once. False if it was committed before."""
+        """Apply a batch once. False if it was committed before.
+
+        The changes are written first: they are read several times, and may be costly to derive.
+        """
         if urllib.parse.quote(batch, safe="") in self.committed():
             return False
-        entries = self._path("entries", batch)
-        self._entries(changes).write.mode("overwrite").parquet(entries)
+        rows = changes.select(
+            F.col("doc_id").cast("bigint").alias("doc_id"), "version", "op", "source", "lang",
+            F.col("n_tokens").cast("bigint").alias("n_tokens"),
+        )
+        given, entries = self._path("changes", batch), self._path("entries", batch)
+        rows.write.mode("overwrite").parquet(given)
+        self._entries(self.spark.read.schema(rows.schema).parquet(given)).write.mode("overwrite").parquet(entries)
         sums = self.spark.read.schema(ENTRY).parquet(entries).groupBy(*GROUP)
         sums = sums.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         sums.write.mode("overwrite").parquet(self._path("totals", batch))
         self.spark.range(1).write.mode("overwrite").parquet(self._path("commits", batch))
         return True
 
-    def _entries(self, changes: DataFrame) -> DataFrame:
-        rows = changes.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"), "version", "op", "source", "lang",
-            F.col("n_tokens").cast("bigint").alias("n_tokens"),
-        )
+    def _entries(self, rows: DataFrame) -> DataFrame:
         known = rows.filter("doc_id IS NOT NULL").groupBy("doc_id", "version").agg(
             F.min(F.struct("op", "n_tokens", "source", "lang")).alias("change")
         )
@@ -95,8 +104,10 @@ class TokenLedger:
         plus = new.select("doc_id", "version", "source", "lang", one.alias("docs"), F.col("n_tokens").alias("tokens"))
         if not self.committed():
             return plus
-        old = self.counts().filter("doc_id IS NOT NULL")
-        minus = old.join(known.select("doc_id", "version"), ["doc_id", "version"], "left_semi").select(
+        # Only the entries of the batch's documents are added up, not all there are.
+        key = ["doc_id", "version"]
+        old = self._read("entries", ENTRY).join(known.select(*key), key, "left_semi")
+        minus = self._present(old).select(
             "doc_id", "version", "source", "lang", (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens")
         )
         # A count that is only revised becomes one entry with the difference.
@@ -116,6 +127,21 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_counts_of(
+    documents: DataFrame, ids: DataFrame, path: str, pattern: str, rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """:func:`token_counts` of the documents whose doc_id is in ``ids``.
+
+    Up to ``rows`` ids go to all workers, which then skip other texts. Beyond that every text is
+    counted and the counts are joined, so texts are never shuffled.
+    """
+    wanted = written(ids.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct(), "ids")
+    if wanted.limit(rows + 1).count() > rows:
+        return token_counts(documents, path, pattern).join(wanted, "doc_id", "left_semi")
+    few = documents.join(F.broadcast(wanted), "doc_id", "left_semi")
+    return token_counts(few, path, pattern)
+
+
 def token_counts(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, source, lang and n_tokens of each row's whole text; a NULL text has none."""
 
