@@ -121,11 +121,16 @@ class TokenFile:
 def store(folder: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a folder that driver and executors share."""
     if "://" not in folder:
-        folder = folder.removeprefix("file:") if folder.startswith("file:") else folder
-        return pafs.LocalFileSystem(), folder
+        return pafs.LocalFileSystem(), folder.removeprefix("file:")
     return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme under which Spark finds it; a path alone is on ``fs.defaultFS``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 WRITTEN = "part int, number int, file string, n_docs bigint, n_tokens bigint"
 
 
@@ -149,12 +154,11 @@ def write_tokens(
         files, root = store(folder)
         files.create_dir(root, recursive=True)
         part, coder = TaskContext.get().partitionId(), word_codes(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
-        done, doc_ids, codes, tokens = [], [], [], 0
+        done, doc_ids, codes, sizes, tokens = [], [], [], [], 0
 
         def flush() -> None:
-            lengths = np.array([len(c) // 4 for c in codes], np.int64)
-            raw = pack(doc_ids, lengths, np.frombuffer(b"".join(codes), "<u4"))
+            lengths = np.concatenate(sizes)
+            raw = pack(doc_ids, lengths, np.concatenate(codes))
             name = f"tokens-{part:06d}-{len(done):06d}.dac"
             attempt = posixpath.join(root, f".{name}.{uuid.uuid4().hex}")
             with files.open_output_stream(attempt) as out:
@@ -163,14 +167,25 @@ def write_tokens(
             done.append((part, len(done), name, len(doc_ids), int(lengths.sum())))
 
         for batch in tb.sliced(batches):
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            for doc_id, code in zip(batch.column("doc_id").to_pylist(), coder.encode(texts), strict=True):
-                doc_ids.append(doc_id)
-                codes.append(code + end)
-                tokens += len(codes[-1]) // 4
+            ids, lengths = coder.ids(*tb.buffers(batch.column("text")))
+            ids = np.insert(ids, np.cumsum(lengths), end_id)
+            lengths = lengths + 1
+            ends = np.cumsum(lengths)
+            ids_of = batch.column("doc_id").to_pylist()
+            first = 0
+            while first < len(ids_of):
+                # Up to the first document with which the file is full.
+                base = int(ends[first] - lengths[first])
+                to = int(np.searchsorted(ends, base + TOKENS_PER_FILE - tokens)) + 1
+                to = min(to, len(ids_of))
+                doc_ids += ids_of[first:to]
+                codes.append(ids[base : ends[to - 1]])
+                sizes.append(lengths[first:to])
+                tokens += len(codes[-1])
                 if tokens >= TOKENS_PER_FILE:
                     flush()
-                    doc_ids, codes, tokens = [], [], 0
+                    doc_ids, codes, sizes, tokens = [], [], [], 0
+                first = to
         if doc_ids:
             flush()
         names = [f.split()[0] for f in WRITTEN.split(", ")]
@@ -196,7 +211,8 @@ def read_tokens(listing: DataFrame, folder: str) -> DataFrame:
                 with files.open_input_stream(posixpath.join(root, row["file"])) as source:
                     file = TokenFile(source.read())
                 n = len(file.doc_ids)
-                crc = [zlib.crc32(file.document(i).tobytes()) for i in range(n)]
+                ids, at = file.range(0, file.n_tokens), file.offsets.tolist()
+                crc = [zlib.crc32(ids[at[i] : at[i + 1]].tobytes()) for i in range(n)]
                 columns = [
                     np.full(n, row["part"], np.int32), np.full(n, row["number"], np.int32),
                     np.arange(n, dtype=np.int32), pa.array(file.doc_ids, pa.int64()),
@@ -231,5 +247,5 @@ def _arrow(ddl: str) -> pa.Schema:
 
 def token_files(spark: SparkSession, documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Write the documents' ids to files in the shared folder and read them back."""
-    folder = work_folder(spark, "tokens")
+    folder = qualified(spark, work_folder(spark, "tokens"))
     return read_tokens(write_tokens(documents, folder, tokenizer, end_id), folder)

@@ -1,8 +1,9 @@
 """Token ids of whole texts from the ids of their words.
 
 A tokenizer that drops white space encodes the words of a text independently, so each distinct word
-is encoded once and texts are put together from the remembered codes. The memory of a worker holds
-two generations of at most ``REMEMBERED`` words; it only saves time.
+is encoded once and texts are put together from the remembered codes, which stand in flat arrays sorted
+by 64-bit hashes of the words. The memory of a worker holds at most ``REMEMBERED`` words and half as
+many again; it only saves time.
 """
 
 from __future__ import annotations
@@ -10,20 +11,55 @@ from __future__ import annotations
 import os
 import unicodedata
 from functools import cache
-from itertools import chain
 
 import numpy as np
 
-REMEMBERED = 500_000
-TOGETHER = 25
+from martkeeper.llm import textbytes as tb
+
+REMEMBERED = 1_500_000
+TOGETHER = 200
 SEPARATOR = "|"
 ENDINGS = ".,;:!?%$&#*()[]{}-=+/"
 # Letters whose lower case depends on the place or the library.
-UNSURE = "Σİİ"
+UNSURE = frozenset("Σİİ")
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` one after another."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+
+
+class _Table:
+    """Codes by hash: sorted keys, and where each one's ids are."""
+
+    def __init__(self, keys=None, lengths=None, codes=None) -> None:
+        keys = np.empty(0, np.uint64) if keys is None else keys
+        order = np.argsort(keys)
+        lengths = np.empty(0, np.int64) if lengths is None else lengths
+        self.keys, self.lengths = keys[order], lengths[order]
+        self.starts = (np.cumsum(lengths) - lengths)[order]
+        self.codes = np.empty(0, "<u4") if codes is None else codes
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether a hash is there, its place)."""
+        place = np.minimum(np.searchsorted(self.keys, hashes), max(len(self.keys) - 1, 0))
+        return (self.keys[place] == hashes if len(self.keys) else np.zeros(len(hashes), bool)), place
+
+    def with_rows(self, other: _Table) -> _Table:
+        return _Table(
+            np.concatenate([self.keys, other.keys]),
+            np.concatenate([self.lengths, other.lengths]),
+            np.concatenate([t.codes_of(np.arange(len(t.keys))) for t in (self, other)]),
+        )
+
+    def codes_of(self, place: np.ndarray) -> np.ndarray:
+        return gathered(self.codes, self.starts[place], self.lengths[place])
 
 
 class WordCodes:
-    """Codes by word, as little-endian unsigned 32-bit integers.
+    """Codes by word.
 
     The file's normalizer and pre-tokenizer take most of the time. A word of letters only, with or
     without punctuation at its end, needs neither: it is one run of letters, and one of punctuation.
@@ -43,55 +79,88 @@ class WordCodes:
             ]
         )
         self.between = self.runs.encode(SEPARATOR).ids
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.endings: dict[str, bytes] = {"": b""}
+        self.all, self.recent = _Table(), _Table()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The codes of each text, one after another."""
-        split = [text.split() for text in texts]
-        if len(self.new) > REMEMBERED:
-            self.old, self.new, self.known = self.new, {}, {}
-        missing = set(chain.from_iterable(split)).difference(self.new)
-        again = missing.intersection(self.old)
-        self.new.update((word, self.old[word]) for word in again)
-        self._learn(missing - again)
-        get = self.new.__getitem__
-        return [b"".join(map(get, words)) for words in split]
-
-    def _learn(self, words: set[bytes]) -> None:
-        parts: dict[bytes, tuple[str, str]] = {}
-        others = []
-        for word in words:
-            text = word.decode()
-            stem = text.rstrip(ENDINGS)
+        """The codes of each text as little-endian unsigned 32-bit integers, one after another."""
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        ids, lengths = self.ids(np.frombuffer(b"".join(texts), np.uint8), offsets)
+        ends = np.cumsum(lengths) * 4
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip((ends - lengths * 4).tolist(), ends.tolist(), strict=True)]
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each) of texts given by their bytes."""
+        starts, ends, rows = tb.spans(data, offsets)
+        hashes = tb.span_hashes(data, starts, ends, False)
+        words, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        known = self.all.find(words)[0] | self.recent.find(words)[0]
+        new = first[~known]
+        self._learn(words[~known], [data[a:b].tobytes() for a, b in zip(starts[new], ends[new], strict=True)])
+        lengths, flat = np.zeros(len(words), np.int64), []
+        places = np.zeros(len(words), np.int64)
+        at = 0
+        for table in (self.all, self.recent):
+            hit, place = table.find(words)
+            place = place[hit]
+            lengths[hit] = table.lengths[place]
+            flat.append(table.codes_of(place))
+            places[hit] = at + np.cumsum(lengths[hit]) - lengths[hit]
+            at += len(flat[-1])
+        ids = gathered(np.concatenate(flat), places[inverse], lengths[inverse])
+        per_text = np.bincount(rows, lengths[inverse], len(offsets) - 1).astype(np.int64)
+        return ids, per_text
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Remember the codes of new words."""
+        codes = self._codes(words)
+        lengths = np.array([len(c) // 4 for c in codes], np.int64)
+        self.recent = self.recent.with_rows(_Table(hashes, lengths, np.frombuffer(b"".join(codes), "<u4")))
+        if len(self.recent.keys) * 4 > len(self.all.keys):
+            kept = self.all if len(self.all.keys) < REMEMBERED else _Table()
+            self.all, self.recent = kept.with_rows(self.recent), _Table()
+
+    def _codes(self, words: list[bytes]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(words)
+        stemmed: list[int] = []
+        stems: list[str] = []
+        ends: list[str] = []
+        others: list[int] = []
+        texts = [word.decode() for word in words]
+        for i, text in enumerate(texts):
+            stem = text if text.isalpha() else text.rstrip(ENDINGS)
             if stem.isalpha() and (stem.isascii() or _plain(stem)):
-                parts[word] = stem.lower(), text[len(stem) :]
+                stemmed.append(i)
+                stems.append(stem.lower())
+                ends.append(text[len(stem) :])
             else:
-                others.append(text)
-        encoded = self.whole.encode_batch_fast(others, add_special_tokens=False)
-        for text, encoding in zip(others, encoded, strict=True):
-            self.new[text.encode()] = np.array(encoding.ids, "<u4").tobytes()
-        self._learn_runs(list(set(chain.from_iterable(parts.values())).difference(self.known)))
-        known = self.known
-        self.new.update((word, known[a] + known[b]) for word, (a, b) in parts.items())
-
-    def _learn_runs(self, runs: list[str]) -> None:
-        """Encode runs, many in one text with a sign between them whose id none of them has."""
+                others.append(i)
+        encoded = self.whole.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)
+        for i, encoding in zip(others, encoded, strict=True):
+            out[i] = np.array(encoding.ids, "<u4").tobytes()
+        unknown = [e for e in set(ends) if e not in self.endings]
+        self.endings.update(zip(unknown, self._runs(unknown), strict=True))
+        for i, code, end in zip(stemmed, self._runs(stems), ends, strict=True):
+            out[i] = code + self.endings[end] if end else code
+        return out
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """The codes of runs, many in one text with a sign between them whose id none of them has."""
         groups = [runs[i : i + TOGETHER] for i in range(0, len(runs), TOGETHER)]
-        texts = [f" {SEPARATOR} ".join(group) for group in groups]
-        for group, encoding in zip(groups, self.runs.encode_batch_fast(texts), strict=True):
+        out: list[bytes] = []
+        between = np.uint32(self.between[0])
+        for encoding in self.runs.encode_batch_fast([f" {SEPARATOR} ".join(g) for g in groups]):
             ids = np.array(encoding.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.between[0])
+            cuts = np.flatnonzero(ids == between) * 4
             raw = ids.tobytes()
-            starts = [0, *(cuts * 4 + 4).tolist()]
-            ends = [*(cuts * 4).tolist(), len(raw)]
-            for run, start, end in zip(group, starts, ends, strict=True):
-                self.known[run] = raw[start:end]
+            starts = [0, *(cuts + 4).tolist()]
+            out += [raw[a:b] for a, b in zip(starts, [*cuts.tolist(), len(raw)], strict=True)]
+        return out
 
 
 def _plain(stem: str) -> bool:
-    return not any(c in UNSURE for c in stem) and unicodedata.is_normalized("NFC", stem)
+    return UNSURE.isdisjoint(stem) and unicodedata.is_normalized("NFC", stem)
 
 
 @cache
