@@ -22,8 +22,11 @@ U64 = np.uint64
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a column of strings; NULL is empty."""
-    column = column.fill_null("").cast(pa.large_string())
+    """(bytes, offsets) of a column of strings or bytes; NULL is empty."""
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        column = column.fill_null(b"").cast(pa.large_binary())
+    else:
+        column = column.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[
         column.offset : column.offset + len(column) + 1
     ]
