@@ -349,7 +349,8 @@ class Mart:
     ``tiebreaks`` names, per raw table, columns that decide between versions of a row with equal
     load time, instead of all its columns. Where such columns identify the row, the dedup no longer
     needs the others, and Spark prunes what a question does not use.
-    ``store`` puts a finished layer somewhere and returns how to read it back.
+    ``store`` is given a layer's name and a function that composes it, and returns the layer: it may
+    keep it somewhere, and needn't compose what it has already.
     """
 
     def __init__(
@@ -359,16 +360,17 @@ class Mart:
         as_of: date | str,
         high_value_usd: float = HIGH_VALUE_USD,
         tiebreaks: Mapping[str, Sequence[str]] | None = None,
-        store: Callable[[str, DataFrame], DataFrame] | None = None,
+        store: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None,
     ) -> None:
         self.seeds, self.batch_ts, self.as_of = seeds, batch_ts, as_of
         self.high_value_usd = high_value_usd
         self.tiebreaks = tiebreaks or {}
-        self._store = store or (lambda name, df: df)
+        self._store = store or (lambda name, build: build())
 
     def _bronze(self, table: str) -> DataFrame:
-        raw = bronze(table, getattr(self.seeds, table), self.batch_ts)
-        return self._store(f"bronze_{table}", raw)
+        return self._store(
+            f"bronze_{table}", lambda: bronze(table, getattr(self.seeds, table), self.batch_ts)
+        )
 
     @cached_property
     def bronze_patients(self) -> DataFrame:
@@ -388,49 +390,60 @@ class Mart:
 
     @cached_property
     def silver_patients(self) -> DataFrame:
-        df = silver_patients(self.bronze_patients, self.tiebreaks.get("patients"))
-        return self._store("silver_patients", df)
+        return self._store(
+            "silver_patients",
+            lambda: silver_patients(self.bronze_patients, self.tiebreaks.get("patients")),
+        )
 
     @cached_property
     def silver_hcps(self) -> DataFrame:
-        df = silver_hcps(self.bronze_hcps, self.tiebreaks.get("hcps"))
-        return self._store("silver_hcps", df)
+        return self._store(
+            "silver_hcps", lambda: silver_hcps(self.bronze_hcps, self.tiebreaks.get("hcps"))
+        )
 
     @cached_property
     def silver_claims(self) -> DataFrame:
-        df = silver_claims(self.bronze_claims, self.silver_patients, self.high_value_usd)
-        return self._store("silver_claims", df)
+        return self._store(
+            "silver_claims",
+            lambda: silver_claims(self.bronze_claims, self.silver_patients, self.high_value_usd),
+        )
 
     @cached_property
     def silver_revenue_summary(self) -> DataFrame:
-        df = silver_revenue_summary(self.bronze_revenue_summary, self.silver_patients)
-        return self._store("silver_revenue_summary", df)
+        return self._store(
+            "silver_revenue_summary",
+            lambda: silver_revenue_summary(self.bronze_revenue_summary, self.silver_patients),
+        )
 
     @cached_property
     def gold_patients(self) -> DataFrame:
         # The raw facts suffice: their aggregates are joined to the known patients only.
-        df = gold_patients(
-            self.silver_patients, self.bronze_claims, self.bronze_revenue_summary, self.as_of
+        return self._store(
+            "gold_patients",
+            lambda: gold_patients(
+                self.silver_patients, self.bronze_claims, self.bronze_revenue_summary, self.as_of
+            ),
         )
-        return self._store("gold_patients", df)
 
     @cached_property
     def stage_claims(self) -> DataFrame:
-        kept = kept_claims(self.silver_claims, self.tiebreaks.get("claims"))
-        return self._store("stage_claims", kept)
+        return self._store(
+            "stage_claims", lambda: kept_claims(self.silver_claims, self.tiebreaks.get("claims"))
+        )
 
     @cached_property
     def gold_claims(self) -> DataFrame:
-        return self._store("gold_claims", gold_claims(self.stage_claims))
+        return self._store("gold_claims", lambda: gold_claims(self.stage_claims))
 
     @cached_property
     def gold_revenue_summary(self) -> DataFrame:
-        df = gold_revenue_summary(self.silver_revenue_summary)
-        return self._store("gold_revenue_summary", df)
+        return self._store(
+            "gold_revenue_summary", lambda: gold_revenue_summary(self.silver_revenue_summary)
+        )
 
     @cached_property
     def gold_hcp(self) -> DataFrame:
-        return self._store("gold_hcp", gold_hcp(self.silver_hcps, self.gold_patients))
+        return self._store("gold_hcp", lambda: gold_hcp(self.silver_hcps, self.gold_patients))
 
     def tables(self) -> Mapping[str, DataFrame]:
         return {name: getattr(self, name) for name in LAYERS}
@@ -453,12 +466,13 @@ def materialize(
 
     A layer is computed once, and a lost executor recomputes from the written layer below. The
     gold facts are partitioned by year and quarter, which is what questions filter on. Without a
-    folder the layers go under the one that the cluster shares.
+    folder the layers go under the one that the cluster shares. A build replaces the one before in its
+    folder; where jobs share layers, a :class:`~martkeeper.sources.stored.LayerStore` is the store.
     """
     folder = folder or f"{shared_folder(spark)}/mart"
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        overwrite(df, f"{folder}/{name}", PERIOD if name in PARTITIONED else ())
+    def store(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        overwrite(build(), f"{folder}/{name}", PERIOD if name in PARTITIONED else ())
         return spark.read.parquet(f"{folder}/{name}")
 
     mart = Mart(seeds, batch_ts, as_of, store=store, **options)

@@ -389,6 +389,11 @@ BODIES: dict[str, str] = {
  PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_quantity,
  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM lineitem)
  WHERE rn = 1""",
+    "deduped_quantity": """SELECT l_returnflag, count(*) AS n_lines,
+ CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity FROM (
+  SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+   ORDER BY l_shipdate DESC NULLS LAST, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+   l_discount, l_tax, l_returnflag, l_linestatus) = 1) GROUP BY l_returnflag""",
     "dedup_documents": """SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (
  PARTITION BY text ORDER BY doc_id, lang, source) AS rn FROM documents) WHERE rn = 1""",
     "milestone_cycle_time": """SELECT channel, round(avg(date_diff('day', a, b)), 2) AS avg_days,

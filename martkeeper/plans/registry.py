@@ -25,7 +25,7 @@ from martkeeper.functions.masks import (
     tokenize_key,
 )
 from martkeeper.operators import grants as G
-from martkeeper.operators.conform import dedup_latest
+from martkeeper.operators.conform import dedup_latest, dedup_stored
 from martkeeper.operators.govern import (
     CERTIFIED_SCHEMA,
     SANDBOX_SCHEMA,
@@ -136,15 +136,16 @@ def layer_store(src: ParquetFolder) -> LayerStore:
     """The layers of a folder, under the fingerprint of its files, the parameters and the code."""
     files = input_fingerprint(src.spark, [f"{src.folder}/{t}.parquet" for t in RAW])
     parameters = (files, BATCH_TS, AS_OF, HIGH_VALUE_USD, code_fingerprint())
-    return LayerStore(src.spark, repr(parameters), partition_by=dict.fromkeys(M.PARTITIONED, M.PERIOD))
+    by = {**dict.fromkeys(M.PARTITIONED, M.PERIOD), "silver_patients": ("region",)}
+    return LayerStore(src.spark, repr(parameters), partition_by=by)
 
 
 def _mart(src: ParquetFolder) -> M.Mart:
     """The mart over stored layers. Whoever asks first builds what is missing."""
     store = layer_store(src)
 
-    def kept(name: str, df: DataFrame) -> DataFrame:
-        return store(name, df) if name in WRITTEN else df
+    def kept(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return store.layer(name, build) if name in WRITTEN else build()
 
     return M.build(
         S.StandinSeeds(src, kept), BATCH_TS, AS_OF, high_value_usd=HIGH_VALUE_USD, store=kept
@@ -197,6 +198,17 @@ def dedup_lineitem(src):
     return plain(dedup_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"]))
 
 
+@query
+def deduped_quantity(src):
+    """Quantity by flag over the newest version of each line; other columns aren't read."""
+    lines = src.scan("lineitem")
+    kept = dedup_stored(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    total = F.sum(F.col("l_quantity").cast("decimal(18,2)"))
+    return plain(
+        kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_lines"), total.alias("quantity"))
+    )
+
+
 @query
 def dedup_documents(src):
     docs = src.scan("documents", ["doc_id", "text", "lang", "source"])
@@ -405,10 +417,10 @@ ROLLED_UP = "mv_revenue_by_channel"
 
 def stored_rollup(src: ParquetFolder) -> MetricRollup:
     """The states of the view's measures by all its dimensions, kept beside the layers."""
-    store = layer_store(src)
-    catalog = metric_catalog(src.spark, mart_tables(_mart(src)))
+    store, catalog = layer_store(src), _catalog(src)
     dims = list(catalog.view(ROLLED_UP).dimensions)
-    return roll_up(catalog, ROLLED_UP, dims, store=lambda df: store(f"rollup_{ROLLED_UP}", df))
+    name = f"rollup_{ROLLED_UP}"
+    return roll_up(catalog, ROLLED_UP, dims, store=lambda df: store.layer(name, lambda: df))
 
 
 def _checked(exact: DataFrame, estimated: DataFrame, keys: list[str]) -> DataFrame:
@@ -672,11 +684,14 @@ def token_join(src):
 
 @query
 def entitled_patients(src):
-    """Rows by an entitlement table: suppliers see the customers of their own region."""
+    """Rows by an entitlement table: suppliers see the customers of their own region.
+
+    The stored patients are partitioned by region, so the entitlement rows prune what is read.
+    """
     entitlements = S.hcps(src).select(
         F.col("hcp_id").alias("principal"), F.col("region").alias("value")
     )
-    people = S.patients(src).select("patient_id", "region", "device_type")
+    people = _mart(src).silver_patients.select("patient_id", "region", "device_type")
     return entitled_rows(people, "region", entitlements, "HCP-000001")
 
 

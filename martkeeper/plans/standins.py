@@ -216,14 +216,16 @@ class StandinSeeds:
     """
 
     def __init__(
-        self, src: ParquetFolder, store: Callable[[str, DataFrame], DataFrame] | None = None
+        self,
+        src: ParquetFolder,
+        store: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None,
     ) -> None:
         self.src = src
-        self._store = store or (lambda name, df: df)
+        self._store = store or (lambda name, build: build())
 
     @cached_property
     def order_facts(self) -> DataFrame:
-        return self._store("order_facts", order_facts(self.src))
+        return self._store("order_facts", lambda: order_facts(self.src))
 
     @cached_property
     def patients(self) -> DataFrame:

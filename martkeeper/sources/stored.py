@@ -107,10 +107,6 @@ class LayerStore:
             self._read[name] = self._open(json.loads(text))
         return self._read[name]
 
-    def __call__(self, name: str, df: DataFrame) -> DataFrame:
-        """:meth:`layer` for rows that are composed already."""
-        return self.layer(name, lambda: df)
-
     def _write(self, name: str, df: DataFrame) -> str:
         folder = f"{name}-{uuid.uuid4().hex}"
         by = list(self.partition_by.get(name, ()))
