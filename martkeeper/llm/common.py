@@ -1,8 +1,9 @@
 """What several operators share: the shared folder, written intermediates, checked broadcasts,
 connected groups.
 
-Conventions of all operators in this package: only the columns an operator names are read, so extra
-columns, also with clashing names, never matter; a NULL text counts as an empty one; rows are never
+Conventions of all operators in this package: only the columns an operator names are read, and where
+an operator hands on the caller's other columns its own have names that the caller doesn't use
+(:func:`unused`), so extra columns never matter; a NULL text counts as an empty one; rows are never
 dropped unless the operator is a filter.
 """
 
@@ -10,8 +11,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -35,6 +37,19 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(names: Sequence[str]) -> list[Column]:
+    """Columns by their names, whatever signs these have."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, and safe from lost executors.
 

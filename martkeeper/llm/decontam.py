@@ -30,7 +30,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkeeper.llm.common import small, written
+from martkeeper.llm.common import quoted, small, written
 
 WIDTH = 5
 SIMILARITY = 80
@@ -253,4 +253,4 @@ def clean(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     bad = written(matches(documents, benchmark, **options).select("doc_id").distinct(), "contaminated")
     known = bad.filter("doc_id IS NOT NULL")
     kept = documents.join(small(known), "doc_id", "left_anti")
-    return kept.select(*documents.columns)
+    return kept.select(*quoted(documents.columns))

@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martkeeper.llm import textbytes as tb
-from martkeeper.llm.common import connected, small, written
+from martkeeper.llm.common import connected, quoted, small, unused, written
 
 VALUES = 64
 TREES = 32
@@ -316,13 +317,22 @@ def groups(documents: DataFrame, width: int = 5, similarity: int = SIMILARITY) -
     )
 
 
+def _orderable(field: T.StructField) -> Column:
+    """A column to sort by; types without an order (maps, and what holds them) are sorted as JSON."""
+    kind = field.dataType.simpleString()
+    if "map<" in kind or "variant" in kind:
+        return F.to_json(F.struct(*quoted([field.name])))
+    return quoted([field.name])[0]
+
+
 def one_of_each(documents: DataFrame, width: int = 5, similarity: int = SIMILARITY) -> DataFrame:
     """The documents without all but one of each group; of rows that repeat an id, one stays."""
     judged = written(groups(documents, width, similarity).select("doc_id", "kept"), "judged")
     ids = written(judged.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count(), "kept")
     kept = documents.join(ids.select("doc_id"), "doc_id", "left_semi")
     if not ids.filter("count > 1").isEmpty():
-        order = [F.col(c) for c in documents.columns if c != "doc_id"]
-        first = Window.partitionBy("doc_id").orderBy(*order)
-        kept = kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return kept.union(documents.filter("doc_id IS NULL")).select(*documents.columns)
+        first = Window.partitionBy("doc_id").orderBy(*[_orderable(f) for f in documents.schema])
+        place = unused(documents, "_n")
+        kept = kept.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1)
+        kept = kept.select(*quoted(documents.columns))
+    return kept.union(documents.filter("doc_id IS NULL")).select(*quoted(documents.columns))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkeeper.llm import textbytes as tb
-from martkeeper.llm.common import small, written
+from martkeeper.llm.common import quoted, small, unused, written
 
 MIN_WORDS = 10
 MIN_DOCS = 20
@@ -178,29 +178,28 @@ def judge(documents: DataFrame, min_left: int = MIN_LEFT, max_share: int = MAX_S
 
 def clean(documents: DataFrame, **options) -> DataFrame:
     """The documents that are kept, without their boilerplate lines; ``n_chars`` follows the text."""
+    key, content, host, gone = (unused(documents, c) for c in ("_id", "_content", "_host", "_gone"))
     kept = (
         judge(documents, **options)
         .filter("kept")
         .select(
-            F.col("doc_id").alias("_id"),
-            F.col("content").alias("_content"),
-            F.col("host").alias("_host"),
-            "removed_lines",
+            F.col("doc_id").alias(key),
+            F.col("content").alias(content),
+            F.col("host").alias(host),
+            F.col("removed_lines").alias(gone),
         )
         .distinct()
     )
     same = (
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id"))
-        & (_content() == F.col("_content"))
-        & (_host() == F.col("_host"))
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col(key))
+        & (_content() == F.col(content))
+        & (_host() == F.col(host))
     )
-    lines = F.filter(
-        F.split("text", "\n", -1), lambda _, i: ~F.array_contains("removed_lines", i)
-    )
-    text = F.when(F.size("removed_lines") > 0, F.array_join(lines, "\n")).otherwise(F.col("text"))
+    lines = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(gone, i))
+    text = F.when(F.size(gone) > 0, F.array_join(lines, "\n")).otherwise(F.col("text"))
     return (
         documents.join(written(kept, "kept"), same)
         .withColumn("text", text)
         .withColumn("n_chars", F.length("text").cast("bigint"))
-        .select(*documents.columns)
+        .select(*quoted(documents.columns))
     )

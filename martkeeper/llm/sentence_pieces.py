@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkeeper.llm import textbytes as tb
+from martkeeper.llm.common import quoted
 
 BLANK = 0x2581
 REMEMBERED = 400_000
@@ -246,19 +247,24 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encode(documents: DataFrame, model: str, *keep: str) -> DataFrame:
-    """The ``keep`` columns and the ids of each row's text."""
-    rows = documents.select(*keep, F.col("text").cast("string").alias("_whole"))
+def encode(documents: DataFrame, model: str, *keep: str, ids: str = "ids") -> DataFrame:
+    """The ``keep`` columns and the ids of each row's text, in a column named ``ids``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tb.sliced(batches, "_whole"):
-            texts = [t or "" for t in batch.column("_whole").to_pylist()]
-            ids, offsets = pieces(model).encode(texts)
-            listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-            columns = [batch.column(c) for c in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, listed], [*keep, "ids"])
+    Columns pass the workers under numbers, so they may have any name.
+    """
+    named = [c.alias(f"c{k}") for k, c in enumerate(quoted(keep))]
+    rows = documents.select(*named, F.col("text").cast("string").alias("whole"))
 
-    return rows.mapInArrow(run, rows.drop("_whole").schema.add("ids", T.ArrayType(T.IntegerType())))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tb.sliced(batches, "whole"):
+            texts = [t or "" for t in batch.column("whole").to_pylist()]
+            found, offsets = pieces(model).encode(texts)
+            listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found))
+            names = [f"c{k}" for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), listed], [*names, "ids"])
+
+    schema = rows.drop("whole").schema.add("ids", T.ArrayType(T.IntegerType()))
+    return rows.mapInArrow(run, schema).toDF(*keep, ids)
 
 
 def decode(rows: DataFrame, model: str, *keep: str) -> DataFrame:
