@@ -217,38 +217,62 @@ def test_token_totals_of_the_query(spark, folder):
     assert got == want
 
 
-@pytest.mark.parametrize("frequent", [1 << 20, 20])
-def test_scores_follow_the_counts_of_the_others(spark, frequent):
+@pytest.mark.parametrize("order, frequent", [(2, 1 << 20), (2, 20), (3, 1 << 20), (3, 30), (4, 10)])
+def test_scores_follow_the_counts_of_the_others(spark, order, frequent):
     rng = random.Random(11)
-    words = [sentence(rng, 1) for _ in range(20)]
+    words = [sentence(rng, 1) for _ in range(12)]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 40)))) for i in range(50)]
-    rows += [(100, None), (101, "solo"), (102, "unseen zzz"), (103, rows[3][1])]
+    rows += [(100, None), (101, "solo"), (102, "unseen zzz"), (103, rows[3][1]), (104, rows[5][1] + " " + rows[6][1])]
     path = public_tokenizers.path("word_bpe_49k.json")
     coder = Tokenizer.from_file(path)
     ids = {i: coder.encode(t or "", add_special_tokens=False).ids for i, t in rows}
-    single, pairs, starts = collections.Counter(), collections.Counter(), collections.Counter()
+
+    def grams(x):
+        count, starts = collections.Counter(), collections.Counter()
+        for k in range(1, order + 1):
+            for i in range(len(x) - k + 1):
+                count[tuple(x[i : i + k])] += 1
+                starts[tuple(x[i : i + k - 1])] += 1
+        return count, starts
+
+    count, starts = collections.Counter(), collections.Counter()
     for x in ids.values():
-        single.update(x)
-        pairs.update(zip(x, x[1:], strict=False))
-        starts.update(x[:-1])
-    total = sum(single.values())
-    got = {r.doc_id: r for r in lm_scoring.score(docs(spark, rows), path, frequent).collect()}
+        for total, part in zip((count, starts), grams(x), strict=True):
+            total.update(part)
+    tokens = sum(map(len, ids.values()))
+    got = {r.doc_id: r for r in lm_scoring.score(docs(spark, rows), path, frequent, order).collect()}
     assert len(got) == len(rows)
     for i, x in ids.items():
-        own, own_pairs, own_starts = collections.Counter(x), collections.Counter(zip(x, x[1:], strict=False)), collections.Counter(x[:-1])
-        rest = max(total - len(x), 1)
-        score, off = (math.log(max(single[x[0]] - own[x[0]], 0.5) / rest) if x else 0), 0
-        for (v, w), n in own_pairs.items():
-            if pairs[v, w] > n:
-                score += n * math.log((pairs[v, w] - n) / (starts[v] - own_starts[v]))
-            else:
-                off += n
-                score += n * math.log(0.4 * max(single[w] - own[w], 0.5) / rest)
+        own, own_starts = grams(x)
+        score, off = 0, 0
+        for at in range(len(x)):
+            size, steps = min(order, at + 1), 0
+            while True:
+                gram = tuple(x[at - size + 1 : at + 1])
+                if size == 1:
+                    ratio = max(count[gram] - own[gram], 0.5) / max(tokens - len(x), 1)
+                    break
+                if count[gram] > own[gram]:
+                    ratio = (count[gram] - own[gram]) / (starts[gram[:-1]] - own_starts[gram[:-1]])
+                    break
+                size, steps = size - 1, steps + 1
+            score += math.log(0.4**steps * ratio)
+            off += steps
         assert (got[i].n_tokens, got[i].backed_off) == (len(x), off)
         assert got[i].log_score is None if not x else abs(got[i].log_score - score) < 1e-4
     assert lm_scoring.score(docs(spark, []), path).count() == 0
 
 
+def test_scores_of_rows_without_an_id(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(None, "one two three"), (None, "two three four"), (1, "one two three"), (1, "five"), (2, "")]
+    got = {r.doc_id: r for r in lm_scoring.score(docs(spark, rows), path).collect()}
+    assert set(got) == {None, 1, 2} and got[None].n_tokens == 6 and got[1].n_tokens == 4
+    assert got[2].log_score is None
+    with pytest.raises(ValueError):
+        lm_scoring.score(docs(spark, rows), path, order=5)
+
+
 def test_the_pipeline_keeps_clean_documents(spark, tmp_path):
     rng = random.Random(12)
     clean = [(i, sentence(rng, 60) + "\n" + sentence(rng, 40)) for i in range(30)]
