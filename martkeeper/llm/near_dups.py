@@ -11,8 +11,10 @@ at the threshold misses with a probability below 1e-4; it is linked if the full
 
 Candidates from a few orders are confirmed first; of the others only those that would connect two
 groups. So a group of many copies costs a few confirmations per copy, and no pair of all copies is
-formed. Sorting deals equal prefixes over tasks by range, and the rows at the ends of tasks are
-compared in a second step.
+formed. Sorting deals equal prefixes over tasks by range. The rows at the ends of tasks are compared in
+a second step, and a region that lies in several tasks gets central nodes for all of its rows: each round finds
+one per region, by its agreement with a sample of the region, and takes off the rows that agree with it, until
+``PATIENCE`` rounds have found nothing. So a region's result doesn't depend on the number of tasks.
 
 A document without words is linked with nothing, as is a row without an id, whose component is NULL;
 both are kept. Rows that repeat an id are one document if their words agree, and are linked else.
@@ -40,6 +42,7 @@ AGREE = 38
 FIRST_TREES = 3
 SAMPLE = 24
 HELD = 1 << 17
+PATIENCE = 3
 SIMILARITY = 80
 
 U64 = np.uint64
@@ -117,7 +120,7 @@ def _rotated(tree: Column) -> Column:
     )
 
 
-PAIRS = "a bigint, b bigint, early boolean, tree int, signature binary, node bigint"
+PAIRS = "a bigint, b bigint, early boolean, tree int, signature binary, node bigint, task int"
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
@@ -142,12 +145,82 @@ def candidates(nodes: DataFrame) -> DataFrame:
     dealt = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     found = written(dealt.mapInArrow(_neighbours, PAIRS), "neighbours")
     # A few rows of each task: its first ones and its last ones.
-    ends = found.filter("node IS NOT NULL").select("tree", "signature", "node").distinct()
+    at_ends = found.filter("node IS NOT NULL")
+    ends = at_ends.select("tree", "signature", "node").distinct()
     joints = ends.repartition(1).sortWithinPartitions(*order).mapInArrow(_neighbours, PAIRS)
     pairs = found.select("a", "b", "early").union(joints.select("a", "b", "early"))
+    # A task begins and ends with one region each, so these are at most twice as many as tasks.
+    top = F.substring("signature", 1, 4).alias("top")
+    regions = at_ends.select("tree", top, "task").distinct().groupBy("tree", "top").agg(F.count("*").alias("n"))
+    regions = written(regions.filter("n > 1").select("tree", "top"), "cut-regions")
+    if not regions.isEmpty():
+        inside = rows.select("tree", top, "signature", "node").join(F.broadcast(regions), ["tree", "top"])
+        for more in _central_rounds(written(inside, "cut-rows")):
+            pairs = pairs.union(more)
     return pairs.filter("a IS NOT NULL").groupBy("a", "b").agg(F.max("early").alias("early"))
 
 
+REGION = ["tree", "top"]
+
+
+def _values(column: pa.Array) -> np.ndarray:
+    raw = column.cast(pa.binary(4 * VALUES))
+    values = np.frombuffer(raw.buffers()[1], ">u4").reshape(-1, VALUES)
+    return values[raw.offset : raw.offset + len(raw)]
+
+
+def _central_rounds(rows: DataFrame) -> Iterator[DataFrame]:
+    """Pairs (a, b, early) of the rows (tree, top, signature, node) with their regions' central nodes."""
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many values a row has in common with its region's sample."""
+        for batch in batches:
+            values, lists = _values(batch.column("signature")), batch.column("sample")
+            total = [
+                int((_values(lists[k].values.cast(pa.binary())) == values[k]).sum())
+                for k in range(batch.num_rows)
+            ]
+            kept = [batch.column(c) for c in ("tree", "top", "signature", "node")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(total, pa.int64())], ["tree", "top", "signature", "node", "score"]
+            )
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = (_values(batch.column("signature")) == _values(batch.column("mark"))).sum(1) >= AGREE
+            names = ["tree", "top", "signature", "node", "pivot"]
+            yield pa.RecordBatch.from_arrays(
+                [*map(batch.column, names), pa.array(same)], [*names, "same"]
+            )
+
+    row = "tree int, top binary, signature binary, node bigint"
+    misses = 0
+    while misses < PATIENCE:
+        place = F.row_number().over(Window.partitionBy(*REGION).orderBy(F.xxhash64("node"), "node"))
+        few = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE)
+        sample = few.groupBy(*REGION).agg(F.collect_list("signature").alias("sample"))
+        scored = rows.join(F.broadcast(sample), REGION).mapInArrow(scores, f"{row}, score bigint")
+        best = F.max_by(F.struct("node", "signature"), F.struct("score", "node")).alias("best")
+        pivots = scored.groupBy(*REGION).agg(best).select(
+            *REGION, F.col("best.node").alias("pivot"), F.col("best.signature").alias("mark")
+        )
+        met = rows.join(F.broadcast(written(pivots, "pivots")), REGION)
+        met = written(met.mapInArrow(agreeing, f"{row}, pivot bigint, same boolean"), "met")
+        pairs = met.filter("same AND node <> pivot").select(
+            F.least("node", "pivot").alias("a"),
+            F.greatest("node", "pivot").alias("b"),
+            (F.col("tree") < FIRST_TREES).alias("early"),
+        )
+        if pairs.isEmpty():
+            misses += 1
+        else:
+            misses = 0
+            yield pairs
+        rows = met.filter("NOT same").select("tree", "top", "signature", "node")
+        if rows.isEmpty():
+            break
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs within ``REACH`` places of sorted rows and those with central nodes; then the first and
     last rows themselves."""
@@ -197,8 +270,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, node, values = (np.concatenate(x) for x in zip(head, last, strict=True))
         n, big = len(tree), values.astype(">u4")
         none, no = pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_())
+        signature = pa.array([v.tobytes() for v in big], pa.binary())
+        task = pa.array(np.full(n, TaskContext.get().partitionId(), np.int32))
         yield pa.RecordBatch.from_arrays(
-            [none, none, no, pa.array(tree), pa.array([v.tobytes() for v in big], pa.binary()), pa.array(node)],
+            [none, none, no, pa.array(tree), signature, pa.array(node), task],
             [f.split()[0] for f in PAIRS.split(", ")],
         )
 
@@ -242,6 +317,7 @@ def _pairs(a: np.ndarray, b: np.ndarray, early: np.ndarray) -> pa.RecordBatch:
         [
             pa.array(a), pa.array(b), pa.array(early),
             pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
+            pa.nulls(n, pa.int32()),
         ],
         [f.split()[0] for f in PAIRS.split(", ")],
     )

@@ -339,3 +339,50 @@ def test_documents_shorter_than_an_item_are_one_window(spark):
     got = {r.doc_id: (round(r.similarity, 9), r.start, r.n_words) for r in decontam.matches(rows, bench).collect()}
     assert got == want
     assert {r.doc_id for r in decontam.clean(rows, bench).collect()} == set(range(len(texts))) - set(want)
+
+
+@pytest.mark.parametrize("partitions", [5, 90])
+def test_a_region_in_many_tasks_has_one_set_of_central_nodes(spark, partitions):
+    """Two originals with variants, each variant linked with its original only, and unrelated rows."""
+    rng = random.Random(23)
+    rows = []
+    for _ in range(2):
+        base = sentence(rng, 90).split()
+        rows.append(" ".join(base))
+        for _ in range(200):
+            copy = list(base)
+            for at in rng.sample(range(90), 2):
+                copy[at] = sentence(rng, 1)
+            rows.append(" ".join(copy))
+    rows += [sentence(rng, 30) for _ in range(50)]
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    texts = [(i, rows[k]) for i, k in enumerate(order)]
+    want, _ = components(texts, 4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {r.doc_id: r.component_id for r in near_dups.groups(docs(spark, texts), width=4).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [got[i] for i, _ in texts] == want
+
+
+def test_rounds_of_central_nodes_find_every_family(spark):
+    """Families and unrelated rows of one region: each family meets its centre."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for family in range(4):
+        centre = rng.integers(0, 2**32, near_dups.VALUES)
+        for k in range(40):
+            own = centre.copy()
+            changed = rng.choice(near_dups.VALUES, 12 if k else 0, replace=False)
+            own[changed] = rng.integers(0, 2**32, len(changed))
+            rows.append((0, b"abcd", own.astype(">u4").tobytes(), family * 100 + k))
+    rows += [(0, b"abcd", rng.integers(0, 2**32, near_dups.VALUES).astype(">u4").tobytes(), 1000 + k) for k in range(5)]
+    table = spark.createDataFrame(rows, "tree int, top binary, signature binary, node bigint")
+    pairs = [(r.a, r.b) for p in near_dups._central_rounds(table) for r in p.collect()]
+    assert all(a // 100 == b // 100 and a < 1000 for a, b in pairs)
+    linked = {n for pair in pairs for n in pair}
+    assert {family * 100 + k for family in range(4) for k in range(40)} <= linked
+    assert len(pairs) <= len(rows)
