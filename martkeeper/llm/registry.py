@@ -115,8 +115,9 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Bigrams: with the operator's default of three the joins don't fit the tool's disk (README)."""
     documents = _table(spark, folder, "documents")
-    return lm_scoring.score(documents, tokenizer("word_bpe_49k.json"))
+    return lm_scoring.score(documents, tokenizer("word_bpe_49k.json"), order=2)
 
 
 def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
