@@ -160,13 +160,16 @@ def silver_hcps(bronze_hcps: DataFrame, tiebreak: Sequence[str] | None = None) -
 
 
 def silver_claims(
-    bronze_claims: DataFrame, patients: DataFrame, high_value_usd: float = HIGH_VALUE_USD
+    bronze_claims: DataFrame,
+    patients: DataFrame,
+    high_value_usd: float = HIGH_VALUE_USD,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Claims of known patients with their attributes, cycle time and a high-value flag.
 
     The cycle time runs from the patient's first intake to the first placement. Attributes and
     milestones are one row per patient, so they are joined to each other first and the claims are
-    shuffled once.
+    shuffled once, or not at all where they lie in even buckets by patient.
     """
     dates = milestone_dates(
         bronze_claims,
@@ -179,7 +182,11 @@ def silver_claims(
     known = patients.select("patient_id", "device_type", "region").join(
         dates.select("patient_id", days), "patient_id", "left"
     )
-    rows = with_calendar(attach(bronze_claims, known, ["patient_id"], "inner"), "claim_date")
+    if bucketed:
+        joined = bronze_claims.join(known, "patient_id")
+    else:
+        joined = attach(bronze_claims, known, ["patient_id"], "inner")
+    rows = with_calendar(joined, "claim_date")
     return rows.select(
         "claim_id",
         "patient_id",
@@ -350,7 +357,8 @@ class Mart:
     load time, instead of all its columns. Where such columns identify the row, the dedup no longer
     needs the others, and Spark prunes what a question does not use.
     ``store`` is given a layer's name and a function that composes it, and returns the layer: it may
-    keep it somewhere, and needn't compose what it has already.
+    keep it somewhere, and needn't compose what it has already. ``bucketed`` tells of a layer that was
+    asked for whether it lies in buckets by patient.
     """
 
     def __init__(
@@ -361,11 +369,13 @@ class Mart:
         high_value_usd: float = HIGH_VALUE_USD,
         tiebreaks: Mapping[str, Sequence[str]] | None = None,
         store: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None,
+        bucketed: Callable[[str], bool] | None = None,
     ) -> None:
         self.seeds, self.batch_ts, self.as_of = seeds, batch_ts, as_of
         self.high_value_usd = high_value_usd
         self.tiebreaks = tiebreaks or {}
         self._store = store or (lambda name, build: build())
+        self._bucketed = bucketed or (lambda name: False)
 
     def _bronze(self, table: str) -> DataFrame:
         return self._store(
@@ -405,7 +415,12 @@ class Mart:
     def silver_claims(self) -> DataFrame:
         return self._store(
             "silver_claims",
-            lambda: silver_claims(self.bronze_claims, self.silver_patients, self.high_value_usd),
+            lambda: silver_claims(
+                self.bronze_claims,
+                self.silver_patients,
+                self.high_value_usd,
+                self._bucketed("bronze_claims"),
+            ),
         )
 
     @cached_property

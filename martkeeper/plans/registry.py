@@ -137,7 +137,8 @@ def layer_store(src: ParquetFolder) -> LayerStore:
     files = input_fingerprint(src.spark, [f"{src.folder}/{t}.parquet" for t in RAW])
     parameters = (files, BATCH_TS, AS_OF, HIGH_VALUE_USD, code_fingerprint())
     by = {**dict.fromkeys(M.PARTITIONED, M.PERIOD), "silver_patients": ("region",)}
-    return LayerStore(src.spark, repr(parameters), partition_by=by)
+    facts = dict.fromkeys(("bronze_claims", "bronze_revenue_summary"), "patient_id")
+    return LayerStore(src.spark, repr(parameters), partition_by=by, bucket_by=facts)
 
 
 def _mart(src: ParquetFolder) -> M.Mart:
@@ -148,7 +149,12 @@ def _mart(src: ParquetFolder) -> M.Mart:
         return store.layer(name, build) if name in WRITTEN else build()
 
     return M.build(
-        S.StandinSeeds(src, kept), BATCH_TS, AS_OF, high_value_usd=HIGH_VALUE_USD, store=kept
+        S.StandinSeeds(src, kept),
+        BATCH_TS,
+        AS_OF,
+        high_value_usd=HIGH_VALUE_USD,
+        store=kept,
+        bucketed=store.bucketed,
     )
 
 

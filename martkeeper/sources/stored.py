@@ -5,6 +5,11 @@ parameters, and of this library's code. A layer is written to a folder of its ow
 moment its marker exists, so a reader sees a whole layer or none; a job that dies leaves a folder
 that nobody reads, and of two jobs that build the same layer at once the first one's is used by both. An
 input that changes, or another parameter, is another fingerprint and so another store.
+
+A large layer may be bucketed and sorted by a key, so that joins and roll-ups by this key read it without
+a shuffle. A key with many rows would make one bucket large, and its task long; a layer where the largest
+key has more than ``SKEW`` times the rows of an even bucket therefore stays as it is, and
+its joins are those that adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -27,6 +32,12 @@ from martkeeper.session import CHECKPOINT_KEY, shared_folder
 from martkeeper.sources import markers
 
 OPTIONAL = "llm"
+# A session option: layers of another generation are built anew.
+GENERATION_KEY = "spark.martkeeper.generation"
+# Smaller layers are cheap to shuffle.
+BUCKET_ROWS = 5_000_000
+MOST_BUCKETS = 50_000
+SKEW = 1.0
 
 
 @cache
@@ -85,12 +96,15 @@ class LayerStore:
         fingerprint: str,
         root: str | None = None,
         partition_by: Mapping[str, Sequence[str]] | None = None,
+        bucket_by: Mapping[str, str] | None = None,
     ) -> None:
         self.spark = spark
-        digest = hashlib.sha256(fingerprint.encode()).hexdigest()[:32]
+        generation = spark.conf.get(GENERATION_KEY, "")
+        digest = hashlib.sha256(repr((generation, fingerprint)).encode()).hexdigest()[:32]
         self.folder = f"{root or work_root(spark) + '/layers'}/{digest}"
-        self.partition_by = partition_by or {}
+        self.partition_by, self.bucket_by = partition_by or {}, bucket_by or {}
         self._read: dict[str, DataFrame] = {}
+        self._bucketed: set[str] = set()
 
     def _marker(self, name: str) -> str:
         return f"{self.folder}/{name}.layer"
@@ -104,21 +118,55 @@ class LayerStore:
             text = markers.read(self.spark, self._marker(name))
             if text is None:
                 text = self._write(name, build())
-            self._read[name] = self._open(json.loads(text))
+            entry = json.loads(text)
+            self._read[name] = self._open(entry)
+            if "table" in entry:
+                self._bucketed.add(name)
         return self._read[name]
 
+    def bucketed(self, name: str) -> bool:
+        """Whether a layer that was asked for lies in buckets."""
+        return name in self._bucketed
+
     def _write(self, name: str, df: DataFrame) -> str:
         folder = f"{name}-{uuid.uuid4().hex}"
         by = list(self.partition_by.get(name, ()))
         out = df.hint("rebalance", *by) if by else df
         writer = out.write.partitionBy(*by) if by else out.write
         writer.parquet(f"{self.folder}/{folder}")
-        entry = json.dumps({"folder": folder, "schema": df.schema.json()})
+        entry = {"folder": folder, "schema": df.schema.json()}
+        if name in self.bucket_by:
+            entry = self._in_buckets(entry, name) or entry
+        entry = json.dumps(entry)
         if markers.publish(self.spark, self._marker(name), entry):
             return entry
         return markers.read(self.spark, self._marker(name))
 
+    def _in_buckets(self, entry: dict, name: str) -> dict | None:
+        """Write a layer that is written already once more, in buckets; None if that doesn't pay."""
+        rows, key = self._open(entry), self.bucket_by[name]
+        counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        total, largest = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        n = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+        if total < BUCKET_ROWS or largest * n > SKEW * total:
+            return None
+        folder = f"{name}-{uuid.uuid4().hex}"
+        table = f"layer_{folder.replace('-', '_')}"
+        writer = rows.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+        writer.format("parquet").option("path", f"{self.folder}/{folder}").saveAsTable(table)
+        return {**entry, "folder": folder, "table": table, "buckets": n, "key": key}
+
     def _open(self, entry: dict) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
-        df = self.spark.read.schema(schema).parquet(f"{self.folder}/{entry['folder']}")
-        return df.select(*schema.names)
+        path = f"{self.folder}/{entry['folder']}"
+        if "table" not in entry:
+            return self.spark.read.schema(schema).parquet(path).select(*schema.names)
+        if not self.spark.catalog.tableExists(entry["table"]):  # written by another application
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            key = f"`{entry['key']}`"
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {entry['table']} ({columns}) USING parquet "
+                f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {entry['buckets']} BUCKETS "
+                f"LOCATION '{path}'"
+            )
+        return self.spark.table(entry["table"]).select(*schema.names)
