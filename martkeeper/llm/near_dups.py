@@ -14,7 +14,7 @@ groups. So a group of many copies costs a few confirmations per copy, and no pai
 formed. Sorting deals equal prefixes over tasks by range. The rows at the ends of tasks are compared in
 a second step, and a region that lies in several tasks gets central nodes for all of its rows: each round finds
 one per region, by its agreement with a sample of the region, and takes off the rows that agree with it, until
-``PATIENCE`` rounds have found nothing. So a region's result doesn't depend on the number of tasks.
+the region has found nothing in ``PATIENCE`` rounds. So its result doesn't depend on the number of tasks.
 
 A document without words is linked with nothing, as is a row without an id, whose component is NULL;
 both are kept. Rows that repeat an id are one document if their words agree, and are linked else.
@@ -42,7 +42,7 @@ AGREE = 38
 FIRST_TREES = 3
 SAMPLE = 24
 HELD = 1 << 17
-PATIENCE = 3
+PATIENCE = 2
 SIMILARITY = 80
 
 U64 = np.uint64
@@ -155,7 +155,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
     regions = written(regions.filter("n > 1").select("tree", "top"), "cut-regions")
     if not regions.isEmpty():
         inside = rows.select("tree", top, "signature", "node").join(F.broadcast(regions), ["tree", "top"])
-        for more in _central_rounds(written(inside, "cut-rows")):
+        inside = written(inside, "cut-rows")
+        # Neighbours reach all rows of a small region, also over the ends of tasks.
+        large = inside.groupBy("tree", "top").agg(F.count("*").alias("n")).filter(F.col("n") > REACH + 1)
+        for more in _central_rounds(inside.join(F.broadcast(large.drop("n")), ["tree", "top"])):
             pairs = pairs.union(more)
     return pairs.filter("a IS NOT NULL").groupBy("a", "b").agg(F.max("early").alias("early"))
 
@@ -194,8 +197,8 @@ def _central_rounds(rows: DataFrame) -> Iterator[DataFrame]:
             )
 
     row = "tree int, top binary, signature binary, node bigint"
-    misses = 0
-    while misses < PATIENCE:
+    missed = None
+    while not rows.isEmpty():
         place = F.row_number().over(Window.partitionBy(*REGION).orderBy(F.xxhash64("node"), "node"))
         few = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE)
         sample = few.groupBy(*REGION).agg(F.collect_list("signature").alias("sample"))
@@ -211,14 +214,18 @@ def _central_rounds(rows: DataFrame) -> Iterator[DataFrame]:
             F.greatest("node", "pivot").alias("b"),
             (F.col("tree") < FIRST_TREES).alias("early"),
         )
-        if pairs.isEmpty():
-            misses += 1
-        else:
-            misses = 0
+        # One row per region: the rounds since its last pair.
+        tally = met.groupBy(*REGION).agg(F.count_if(F.expr("same AND node <> pivot")).alias("found"))
+        if missed is not None:
+            tally = tally.join(missed, REGION, "left")
+        before = F.coalesce("misses", F.lit(0)) if missed is not None else F.lit(0)
+        misses = F.when(F.col("found") > 0, F.lit(0)).otherwise(before + 1).alias("misses")
+        counted = written(tally.select(*REGION, misses, "found"), "tally")
+        if not counted.filter("found > 0").isEmpty():
             yield pairs
-        rows = met.filter("NOT same").select("tree", "top", "signature", "node")
-        if rows.isEmpty():
-            break
+        missed = counted.drop("found").filter(F.col("misses") < PATIENCE)
+        rows = met.filter("NOT same").join(F.broadcast(missed), REGION, "left_semi")
+        rows = rows.select("tree", "top", "signature", "node")
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
