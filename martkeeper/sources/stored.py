@@ -9,7 +9,8 @@ input that changes, or another parameter, is another fingerprint and so another
 A large layer may be bucketed and sorted by a key, so that joins and roll-ups by this key read it without
 a shuffle. A key with many rows would make one bucket large, and its task long; a layer where the largest
 key has more than ``SKEW`` times the rows of an even bucket therefore stays as it is, and
-its joins are those that adaptive execution splits.
+its joins are those that adaptive execution splits. A bucketed layer is an external table of the session's
+catalog, as Spark knows buckets of tables only; where the catalog has forgotten it, it is entered again.
 """
 
 from __future__ import annotations
