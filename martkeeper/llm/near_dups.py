@@ -158,7 +158,8 @@ def candidates(nodes: DataFrame) -> DataFrame:
         inside = written(inside, "cut-rows")
         # Neighbours reach all rows of a small region, also over the ends of tasks.
         large = inside.groupBy("tree", "top").agg(F.count("*").alias("n")).filter(F.col("n") > REACH + 1)
-        for more in _central_rounds(inside.join(F.broadcast(large.drop("n")), ["tree", "top"])):
+        dense = written(inside.join(F.broadcast(large.drop("n")), ["tree", "top"]), "cut-rows")
+        for more in _central_rounds(dense):
             pairs = pairs.union(more)
     return pairs.filter("a IS NOT NULL").groupBy("a", "b").agg(F.max("early").alias("early"))
 
