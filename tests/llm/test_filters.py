@@ -260,3 +260,53 @@ def test_a_language_with_long_texts_only_is_learned(spark):
     rows = [(1, "ab cd " * 1000, "x"), (2, "ef gh " * 900, "x"), (3, "ij kl", "y"), (4, "mn " * 2000, "y"), (5, "", "z")]
     learned = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     assert set(learned) == {"x", "y"} and learned["y"] == b" ij kl " and 3_900 < len(learned["x"]) <= 4_002
+
+
+@pytest.mark.parametrize("tile", [4096, 16])
+def test_alike_lines_that_share_only_a_full_bucket_meet(spark, monkeypatch, tile):
+    monkeypatch.setattr(line_dedup, "TILE", tile, raising=False)
+    rng = random.Random(23)
+    passage = _random_line(rng, 60)
+    lines = [f"{passage} {_random_line(rng, 139)}" for _ in range(100)]
+    copies = []
+    for line in lines[:30]:  # no window of 14 letters behind the passage stays whole
+        out = list(line)
+        for k in range(61, 200, 12):
+            out[k] = rng.choice("klmnopq")
+        copies.append("".join(out))
+    data, offsets, _, _ = line_dedup.normalized(pa.array(lines + copies))
+    bounds, keys = line_dedup.sketch(data, offsets)
+    sets = [set(keys[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
+    common = {k for k in set().union(*sets) if sum(k in s for s in sets) > 16}
+    shared = [sets[i] & sets[100 + i] for i in range(30)]
+    assert all(shared) and all(s <= common for s in shared)
+    rows = [(i, t, "s") for i, t in enumerate(lines + copies)]
+    gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
+    assert gone == set(range(100, 130))
+
+
+def test_counts_never_part_alike_lines():
+    import numpy as np
+
+    rng = random.Random(24)
+    lines = ["".join(rng.choice("abcdeé日本語😀 ") for _ in range(n)).strip() for n in range(30, 330, 3)]
+    copies = []
+    for line in lines:
+        out = list(line)
+        for _ in range(len(line) // 10):
+            k = rng.randrange(len(out))
+            out[k : k + 1] = rng.choice([[], ["x"], [out[k], "ß"]])
+        copies.append("".join(out))
+    limits = [max(len(x), len(y)) // 10 for x, y in zip(lines, copies, strict=True)]
+    full = []
+    for texts in (lines, copies):
+        data, offsets = line_dedup.tb.buffers(pa.array(texts))
+        letters, chars = line_dedup.letter_counts(data, offsets)
+        assert chars.tolist() == [len(t) for t in texts]
+        full.append(np.concatenate([letters, line_dedup.pair_counts(data, offsets)], 1))
+    both = np.concatenate(full)
+    x = np.arange(len(lines))
+    assert line_dedup.not_apart(both, x, x + len(lines), np.array(limits)).all()
+    assert not line_dedup.not_apart(both, x[:-20], x[:-20] + 20, np.array(limits[:-20])).any()
+    assert all(line_dedup.not_apart_in_runs(lines, copies, limits))
+    assert not any(line_dedup.not_apart_in_runs(lines[:-20], lines[20:], limits[:-20]))
