@@ -129,10 +129,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
     places = nodes.select("node", "signature", F.explode(trees).alias("tree"))
     places = places.select("node", "tree", F.substring(_rotated(F.col("tree")), 1, 4).alias("top"))
     shared = written(
-        places.groupBy("tree", "top").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "regions"
+        places.groupBy("tree", "top").agg(F.count("*").alias("n")).filter("n > 1"), "regions"
     )
     dense = written(
-        places.join(shared, ["tree", "top"]).groupBy("node").agg(F.collect_list("tree").alias("trees")),
+        places.join(shared, REGION, "left_semi").groupBy("node").agg(F.collect_list("tree").alias("trees")),
         "dense",
     )
     rows = (
@@ -152,14 +152,12 @@ def candidates(nodes: DataFrame) -> DataFrame:
     # A task begins and ends with one region each, so these are at most twice as many as tasks.
     top = F.substring("signature", 1, 4).alias("top")
     regions = at_ends.select("tree", top, "task").distinct().groupBy("tree", "top").agg(F.count("*").alias("n"))
-    regions = written(regions.filter("n > 1").select("tree", "top"), "cut-regions")
+    # Neighbours reach all rows of a small region, also over the ends of tasks.
+    large = shared.filter(F.col("n") > REACH + 1)
+    regions = written(regions.filter("n > 1").join(large, REGION, "left_semi").select(*REGION), "cut-regions")
     if not regions.isEmpty():
-        inside = rows.select("tree", top, "signature", "node").join(F.broadcast(regions), ["tree", "top"])
-        inside = written(inside, "cut-rows")
-        # Neighbours reach all rows of a small region, also over the ends of tasks.
-        large = inside.groupBy("tree", "top").agg(F.count("*").alias("n")).filter(F.col("n") > REACH + 1)
-        dense = written(inside.join(F.broadcast(large.drop("n")), ["tree", "top"]), "cut-rows")
-        for more in _central_rounds(dense):
+        inside = rows.select("tree", top, "signature", "node").join(F.broadcast(regions), REGION, "left_semi")
+        for more in _central_rounds(written(inside, "cut-rows")):
             pairs = pairs.union(more)
     return pairs.filter("a IS NOT NULL").groupBy("a", "b").agg(F.max("early").alias("early"))
 
@@ -173,43 +171,56 @@ def _values(column: pa.Array) -> np.ndarray:
     return values[raw.offset : raw.offset + len(raw)]
 
 
+def _regions(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, bytes], np.ndarray]]:
+    """(region, rows) of a batch; a region is a tree and the first value there."""
+    top = batch.column("top").dictionary_encode()
+    tops = top.dictionary.to_pylist()
+    codes = batch.column("tree").to_numpy().astype(np.int64) << 32 | top.indices.to_numpy()
+    codes, which = np.unique(codes, return_inverse=True)
+    for k, code in enumerate(codes.tolist()):
+        yield (code >> 32, tops[code & 2**32 - 1]), np.flatnonzero(which == k)
+
+
 def _central_rounds(rows: DataFrame) -> Iterator[DataFrame]:
     """Pairs (a, b, early) of the rows (tree, top, signature, node) with their regions' central nodes."""
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """How many values a row has in common with its region's sample."""
         for batch in batches:
-            values, lists = _values(batch.column("signature")), batch.column("sample")
-            total = [
-                int((_values(lists[k].values.cast(pa.binary())) == values[k]).sum())
-                for k in range(batch.num_rows)
-            ]
+            values, total = _values(batch.column("signature")), np.zeros(batch.num_rows, np.int64)
+            for region, at in _regions(batch):
+                for signature in samples.value[region]:
+                    total[at] += (values[at] == np.frombuffer(signature, ">u4")).sum(1)
             kept = [batch.column(c) for c in ("tree", "top", "signature", "node")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(total, pa.int64())], ["tree", "top", "signature", "node", "score"]
+                [*kept, pa.array(total)], ["tree", "top", "signature", "node", "score"]
             )
 
     def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = (_values(batch.column("signature")) == _values(batch.column("mark"))).sum(1) >= AGREE
-            names = ["tree", "top", "signature", "node", "pivot"]
+            values = _values(batch.column("signature"))
+            pivot, same = np.empty(batch.num_rows, np.int64), np.empty(batch.num_rows, bool)
+            for region, at in _regions(batch):
+                pivot[at], mark = marks.value[region]
+                same[at] = (values[at] == np.frombuffer(mark, ">u4")).sum(1) >= AGREE
+            names = ["tree", "top", "signature", "node"]
             yield pa.RecordBatch.from_arrays(
-                [*map(batch.column, names), pa.array(same)], [*names, "same"]
+                [*map(batch.column, names), pa.array(pivot), pa.array(same)], [*names, "pivot", "same"]
             )
 
     row = "tree int, top binary, signature binary, node bigint"
-    missed = None
+    missed, context = None, rows.sparkSession.sparkContext
     while not rows.isEmpty():
         place = F.row_number().over(Window.partitionBy(*REGION).orderBy(F.xxhash64("node"), "node"))
         few = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE)
         sample = few.groupBy(*REGION).agg(F.collect_list("signature").alias("sample"))
-        scored = rows.join(F.broadcast(sample), REGION).mapInArrow(scores, f"{row}, score bigint")
+        # What a region is compared with is a few kilobytes, and regions are at most twice as many as tasks.
+        samples = context.broadcast({(r.tree, bytes(r.top)): [bytes(x) for x in r.sample] for r in sample.collect()})
+        scored = rows.mapInArrow(scores, f"{row}, score bigint")
         best = F.max_by(F.struct("node", "signature"), F.struct("score", "node")).alias("best")
-        pivots = scored.groupBy(*REGION).agg(best).select(
-            *REGION, F.col("best.node").alias("pivot"), F.col("best.signature").alias("mark")
-        )
-        met = rows.join(F.broadcast(written(pivots, "pivots")), REGION)
-        met = written(met.mapInArrow(agreeing, f"{row}, pivot bigint, same boolean"), "met")
+        pivots = scored.groupBy(*REGION).agg(best).collect()
+        marks = context.broadcast({(r.tree, bytes(r.top)): (r.best.node, bytes(r.best.signature)) for r in pivots})
+        met = written(rows.mapInArrow(agreeing, f"{row}, pivot bigint, same boolean"), "met")
         pairs = met.filter("same AND node <> pivot").select(
             F.least("node", "pivot").alias("a"),
             F.greatest("node", "pivot").alias("b"),
