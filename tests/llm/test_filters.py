@@ -310,3 +310,53 @@ def test_counts_never_part_alike_lines():
     assert not line_dedup.not_apart(both, x[:-20], x[:-20] + 20, np.array(limits[:-20])).any()
     assert all(line_dedup.not_apart_in_runs(lines, copies, limits))
     assert not any(line_dedup.not_apart_in_runs(lines[:-20], lines[20:], limits[:-20]))
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from martkeeper.llm.common import RELEASE_KEY, written
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().startswith("shuffle_")}
+
+    before = files()
+    rows = written(spark.range(20_000).repartition(4).groupBy("id").count(), "counts")
+    until = time.time() + 20
+    while files() - before and time.time() < until:  # they go in the background
+        time.sleep(0.2)
+    assert not files() - before and rows.count() == 20_000
+    assert spark.conf.get(RELEASE_KEY) == "false"
+
+
+def test_only_lines_with_pairs_left_meet_again(spark, monkeypatch):
+    """Two alike lines have no pair left; of five in one bucket the outer ones have."""
+    again = []
+    pairs_of = line_dedup.bucket_pairs
+
+    def spied(members, edit, every=False):
+        if every:
+            again.extend(r.line for r in members.select("line").distinct().collect())
+        return pairs_of(members, edit, every)
+
+    monkeypatch.setattr(line_dedup, "bucket_pairs", spied)
+    rng = random.Random(29)
+    twos = [_random_line(rng, 200) for _ in range(20)]
+    rows = [(i, t, "s") for i, t in enumerate(twos + [_edited(rng, t, 3) for t in twos])]
+    gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
+    assert gone == set(range(20, 40)) and not again
+    five = [twos[0], *(_edited(rng, twos[0], 2) for _ in range(4))]
+    gone = {r.doc_id for r in line_dedup.deduped(docs(spark, [(i, t, "s") for i, t in enumerate(five)])).collect() if r.removed_lines}
+    assert gone == {1, 2, 3, 4} and len(set(again)) == 5
+
+
+@pytest.mark.parametrize("rounds", [1, 5])
+def test_rounds_give_the_buckets_of_all_keys(spark, rounds):
+    rng = random.Random(31)
+    first = [_random_line(rng, 90) for _ in range(30)]
+    rows = docs(spark, [(i, t, "s") for i, t in enumerate(first + [_edited(rng, t, 4) for t in first])])
+    lines = line_dedup.written(line_dedup.line_sketch(rows), "lines")
+    want = {(r.key, r.line) for r in line_dedup.buckets(lines).collect()}
+    got = [(r.key, r.line) for k in range(rounds) for r in line_dedup.buckets(lines, 10, k, rounds).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 60
