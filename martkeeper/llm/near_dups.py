@@ -154,10 +154,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
     regions = at_ends.select("tree", top, "task").distinct().groupBy("tree", "top").agg(F.count("*").alias("n"))
     # Neighbours reach all rows of a small region, also over the ends of tasks.
     large = shared.filter(F.col("n") > REACH + 1)
-    regions = written(regions.filter("n > 1").join(large, REGION, "left_semi").select(*REGION), "cut-regions")
-    if not regions.isEmpty():
-        inside = rows.select("tree", top, "signature", "node").join(F.broadcast(regions), REGION, "left_semi")
-        for more in _central_rounds(written(inside, "cut-rows")):
+    regions = regions.filter("n > 1").join(large, REGION, "left_semi").select(*REGION).collect()
+    if regions:
+        inside = _in_regions(nodes.join(dense, "node"), {(r.tree, bytes(r.top)) for r in regions})
+        for more in _rounds(written(inside, "cut-rows")):
             pairs = pairs.union(more)
     return pairs.filter("a IS NOT NULL").groupBy("a", "b").agg(F.max("early").alias("early"))
 
@@ -171,73 +171,144 @@ def _values(column: pa.Array) -> np.ndarray:
     return values[raw.offset : raw.offset + len(raw)]
 
 
-def _regions(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, bytes], np.ndarray]]:
-    """(region, rows) of a batch; a region is a tree and the first value there."""
-    top = batch.column("top").dictionary_encode()
+AT = pa.list_(pa.struct([("tree", pa.int32()), ("top", pa.binary())]))
+IN_REGIONS = "node bigint, signature binary, regions array<struct<tree: int, top: binary>>"
+
+
+def _in_regions(nodes: DataFrame, cut: set[tuple[int, bytes]]) -> DataFrame:
+    """(node, signature, regions): of the nodes with their ``trees`` those in some of the regions ``cut``."""
+    cut = nodes.sparkSession.sparkContext.broadcast(cut)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("signature").to_pylist(), batch.column("trees").to_pylist(), strict=True)
+            tops = [[(t, s[4 * STEP * t : 4 * STEP * t + 4]) for t in trees] for s, trees in rows]
+            own = pa.array([[r for r in regions if r in cut.value] for regions in tops], AT)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("signature"), own], ["node", "signature", "regions"]
+            ).filter(pa.array([len(r) > 0 for r in own]))
+
+    return nodes.select("node", "signature", "trees").mapInArrow(run, IN_REGIONS)
+
+
+def _regions(batch: pa.RecordBatch, open_: dict | None) -> Iterator[tuple[tuple[int, bytes], np.ndarray]]:
+    """(region, rows) of a batch, of the regions in ``open_`` if given; a region is a tree and the first value there."""
+    column = batch.column("regions")
+    row = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+    flat = column.flatten()
+    top = flat.field("top").dictionary_encode()
     tops = top.dictionary.to_pylist()
-    codes = batch.column("tree").to_numpy().astype(np.int64) << 32 | top.indices.to_numpy()
-    codes, which = np.unique(codes, return_inverse=True)
-    for k, code in enumerate(codes.tolist()):
-        yield (code >> 32, tops[code & 2**32 - 1]), np.flatnonzero(which == k)
+    codes = flat.field("tree").to_numpy().astype(np.int64) << 32 | top.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    codes, first = np.unique(codes[order], return_index=True)
+    for code, at in zip(codes.tolist(), np.split(row[order], first[1:]), strict=False):
+        region = code >> 32, tops[code & 2**32 - 1]
+        if open_ is None or region in open_:
+            yield region, at
 
 
 def _central_rounds(rows: DataFrame) -> Iterator[DataFrame]:
     """Pairs (a, b, early) of the rows (tree, top, signature, node) with their regions' central nodes."""
+    turned = F.lit(4 * VALUES) - F.col("tree") * (4 * STEP)
+    signature = F.concat(
+        F.substring("signature", turned + 1, F.lit(4 * VALUES)), F.substring("signature", F.lit(1), turned)
+    )
+    regions = F.collect_list(F.struct("tree", "top")).alias("regions")
+    return _rounds(rows.groupBy("node").agg(F.first(signature).alias("signature"), regions))
+
+
+def _rounds(nodes: DataFrame) -> Iterator[DataFrame]:
+    """The same of nodes (node, signature, regions). What a region is compared with, and what its nodes have
+    found, is put together in a task first, so a node is a row whatever the number of its regions."""
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a batch that may be in a region's sample."""
+        for batch in batches:
+            node = batch.column("node").to_numpy()
+            place = tb.mix(node.view(U64)).view(np.int64)
+            rank = np.lexsort((node, place))
+            rank[rank.copy()] = np.arange(len(rank))
+            signature = batch.column("signature")
+            for (tree, top), at in _regions(batch, open_.value):
+                at = at[np.argsort(rank[at])][:SAMPLE]
+                yield _of_region(tree, top, place=place[at], node=node[at], signature=signature.take(pa.array(at)))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many values a row has in common with its region's sample."""
+        """The row of a batch that has most values in common with its region's sample, by region."""
         for batch in batches:
-            values, total = _values(batch.column("signature")), np.zeros(batch.num_rows, np.int64)
-            for region, at in _regions(batch):
-                for signature in samples.value[region]:
-                    total[at] += (values[at] == np.frombuffer(signature, ">u4")).sum(1)
-            kept = [batch.column(c) for c in ("tree", "top", "signature", "node")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(total)], ["tree", "top", "signature", "node", "score"]
-            )
+            values, node = _values(batch.column("signature")), batch.column("node").to_numpy()
+            for (tree, top), at in _regions(batch, samples.value):
+                marks = [np.frombuffer(x, ">u4") for x in samples.value[tree, top]]
+                total = sum((values[at] == mark).sum(1) for mark in marks)
+                best = np.lexsort((node[at], total))[-1:]
+                signature = batch.column("signature").take(pa.array(at[best]))
+                yield _of_region(tree, top, score=total[best], node=node[at[best]], signature=signature)
 
     def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The nodes with the central nodes that they agree with and the regions where they don't; behind them,
+        with no ``node``, the regions where some did."""
         for batch in batches:
-            values = _values(batch.column("signature"))
-            pivot, same = np.empty(batch.num_rows, np.int64), np.empty(batch.num_rows, bool)
-            for region, at in _regions(batch):
-                pivot[at], mark = marks.value[region]
-                same[at] = (values[at] == np.frombuffer(mark, ">u4")).sum(1) >= AGREE
-            names = ["tree", "top", "signature", "node"]
+            values, node = _values(batch.column("signature")), batch.column("node").to_numpy()
+            left, met, found = [[] for _ in node], [{} for _ in node], []
+            for region, at in _regions(batch, marks.value):
+                pivot, mark = marks.value[region]
+                same = (values[at] == np.frombuffer(mark, ">u4")).sum(1) >= AGREE
+                for k in at[~same].tolist():
+                    left[k].append(region)
+                others = at[same & (node[at] != pivot)].tolist()
+                for k in others:
+                    met[k][pivot] = met[k].get(pivot, False) or region[0] < FIRST_TREES
+                found += [region] if others else []
             yield pa.RecordBatch.from_arrays(
-                [*map(batch.column, names), pa.array(pivot), pa.array(same)], [*names, "pivot", "same"]
+                [
+                    pa.array([*node.tolist(), *([None] if found else [])], pa.int64()),
+                    pa.array([*batch.column("signature").to_pylist(), *([None] if found else [])], pa.binary()),
+                    pa.array([*left, *([found] if found else [])], AT),
+                    pa.array([*(list(m.items()) for m in met), *([[]] if found else [])], MET),
+                ],
+                ["node", "signature", "regions", "met"],
             )
 
-    row = "tree int, top binary, signature binary, node bigint"
-    missed, context = None, rows.sparkSession.sparkContext
-    while not rows.isEmpty():
-        place = F.row_number().over(Window.partitionBy(*REGION).orderBy(F.xxhash64("node"), "node"))
-        few = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE)
-        sample = few.groupBy(*REGION).agg(F.collect_list("signature").alias("sample"))
+    context = nodes.sparkSession.sparkContext
+    region = "tree int, top binary"
+    misses: dict | None = None
+    while True:
+        open_ = context.broadcast(misses)
+        few = nodes.mapInArrow(firsts, f"{region}, place bigint, node bigint, signature binary")
+        place = F.row_number().over(Window.partitionBy(*REGION).orderBy("place", "node"))
+        few = few.withColumn("at", place).filter(F.col("at") <= SAMPLE)
+        sample = few.groupBy(*REGION).agg(F.collect_list("signature").alias("sample")).collect()
+        if not sample:
+            return
         # What a region is compared with is a few kilobytes, and regions are at most twice as many as tasks.
-        samples = context.broadcast({(r.tree, bytes(r.top)): [bytes(x) for x in r.sample] for r in sample.collect()})
-        scored = rows.mapInArrow(scores, f"{row}, score bigint")
+        samples = context.broadcast({(r.tree, bytes(r.top)): [bytes(x) for x in r.sample] for r in sample})
+        scored = nodes.mapInArrow(scores, f"{region}, score bigint, node bigint, signature binary")
         best = F.max_by(F.struct("node", "signature"), F.struct("score", "node")).alias("best")
         pivots = scored.groupBy(*REGION).agg(best).collect()
         marks = context.broadcast({(r.tree, bytes(r.top)): (r.best.node, bytes(r.best.signature)) for r in pivots})
-        met = written(rows.mapInArrow(agreeing, f"{row}, pivot bigint, same boolean"), "met")
-        pairs = met.filter("same AND node <> pivot").select(
-            F.least("node", "pivot").alias("a"),
-            F.greatest("node", "pivot").alias("b"),
-            (F.col("tree") < FIRST_TREES).alias("early"),
-        )
-        # One row per region: the rounds since its last pair.
-        tally = met.groupBy(*REGION).agg(F.count_if(F.expr("same AND node <> pivot")).alias("found"))
-        if missed is not None:
-            tally = tally.join(missed, REGION, "left")
-        before = F.coalesce("misses", F.lit(0)) if missed is not None else F.lit(0)
-        misses = F.when(F.col("found") > 0, F.lit(0)).otherwise(before + 1).alias("misses")
-        counted = written(tally.select(*REGION, misses, "found"), "tally")
-        if not counted.filter("found > 0").isEmpty():
-            yield pairs
-        missed = counted.drop("found").filter(F.col("misses") < PATIENCE)
-        rows = met.filter("NOT same").join(F.broadcast(missed), REGION, "left_semi")
-        rows = rows.select("tree", "top", "signature", "node")
+        met = written(nodes.mapInArrow(agreeing, f"{IN_REGIONS}, met array<struct<pivot: bigint, early: boolean>>"), "met")
+        found = met.filter("node IS NULL").select(F.explode("regions").alias("r")).select("r.*").distinct().collect()
+        found = {(r.tree, bytes(r.top)) for r in found}
+        if found:
+            each = met.filter("node IS NOT NULL").select("node", F.explode("met").alias("m"))
+            yield each.select(
+                F.least("node", "m.pivot").alias("a"), F.greatest("node", "m.pivot").alias("b"), "m.early"
+            )
+        before = misses or {}
+        misses = {r: 0 if r in found else before.get(r, 0) + 1 for r in marks.value}
+        misses = {r: n for r, n in misses.items() if n < PATIENCE}
+        nodes = met.filter("node IS NOT NULL AND size(regions) > 0").drop("met")
+
+
+MET = pa.list_(pa.struct([("pivot", pa.int64()), ("early", pa.bool_())]))
+
+
+def _of_region(tree: int, top: bytes, **columns) -> pa.RecordBatch:
+    n = len(columns["node"])
+    region = [pa.array([tree] * n, pa.int32()), pa.array([top] * n, pa.binary())]
+    return pa.RecordBatch.from_arrays(
+        [*region, *(x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values())], [*REGION, *columns]
+    )
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -386,3 +386,31 @@ def test_rounds_of_central_nodes_find_every_family(spark):
     linked = {n for pair in pairs for n in pair}
     assert {family * 100 + k for family in range(4) for k in range(40)} <= linked
     assert len(pairs) <= len(rows)
+
+
+def test_a_node_is_one_row_of_the_rounds_whatever_its_regions(spark, monkeypatch):
+    rng = random.Random(37)
+    base = sentence(rng, 90).split()
+    texts = []
+    for i in range(120):
+        copy = list(base)
+        copy[i % 90] = sentence(rng, 1)
+        texts.append((i, " ".join(copy)))
+    sizes = {"cut-rows": [], "met": []}
+    write = near_dups.written
+
+    def spied(df, name):
+        table = write(df, name)
+        if name in sizes:
+            sizes[name].append(table.filter("node IS NOT NULL").count())
+        return table
+
+    monkeypatch.setattr(near_dups, "written", spied)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    try:
+        got = {r.component_id for r in near_dups.groups(docs(spark, texts), width=4).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {0}
+    assert sizes["cut-rows"] and sizes["met"] and max(sizes["cut-rows"] + sizes["met"]) <= len(texts)
