@@ -2,9 +2,11 @@
 
 A phrase is a run of up to ``LONGEST`` words of a piece, and can only be frequent if the phrases
 without its last and without its first word are. A sample of the documents is mined level by level
-with a lowered limit and proposes a set of phrases. One pass over all documents then counts the
+with a lowered limit and proposes a set of phrases. Two passes over all documents then count the
 proposed phrases and their negative border exactly: the border are the phrases whose two parts are
-proposed, though they aren't themselves, and a word always. If a border phrase turns out frequent,
+proposed, though they aren't themselves, and a word always. Most of them are rare, so the first pass
+adds up the phrases by 32 bits of their hash (Park, Chen and Yu, 1995), which shuffles five bytes for
+each, and the second counts those whose sum reaches the limit. If a border phrase turns out frequent,
 the proposals were too few; a further pass counts the phrases whose parts are frequent and that no
 pass has counted, until no such phrase is frequent. The result is exact, whatever the sample; the
 sample decides the number of passes, three more at most.
@@ -48,6 +50,8 @@ UNKNOWN = "und"
 SAMPLE_ONE_IN = 8
 SAMPLE_LEAST = 2
 
+HELD = 1 << 22
+
 BITS_EACH = 16
 MIN_BITS = 1 << 16
 MAX_BITS = 1 << 28
@@ -83,9 +87,7 @@ class Proposed:
 
 
 def proposed(phrases: DataFrame) -> Proposed:
-    """The bitmap of a table of phrases; it passes through the driver and is bounded."""
-    wanted = max(MIN_BITS, BITS_EACH * phrases.count())
-    bits = min(MAX_BITS, 1 << (wanted - 1).bit_length())
+    """The bitmap of a table of phrases."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,10 +96,17 @@ def proposed(phrases: DataFrame) -> Proposed:
             at = np.empty(batch.num_rows, np.uint64)
             for k in range(1, LONGEST + 1):
                 of = size == k
-                at[of] = fold([w[of] for w in words[:k]]) & np.uint64(bits - 1)
+                at[of] = fold([w[of] for w in words[:k]]) & np.uint64(MAX_BITS - 1)
             yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64))], ["at"])
 
-    at = phrases.select(*KEYS).mapInArrow(places, "at bigint")
+    return bitmap_of(phrases.select(*KEYS).mapInArrow(places, "at bigint"), phrases.count())
+
+
+def bitmap_of(hashes: DataFrame, n: int) -> Proposed:
+    """The bitmap of ``n`` hashes (at); it passes through the driver and is bounded."""
+    wanted = max(MIN_BITS, BITS_EACH * n)
+    bits = min(MAX_BITS, 1 << (wanted - 1).bit_length())
+    at = hashes.select(F.col("at").bitwiseAND(F.lit(bits - 1)).alias("at"))
     # Spark numbers the bits of a bucket from 1 on.
     chunks = at.groupBy(F.bitmap_bucket_number(F.col("at") + 1).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(F.col("at") + 1)).alias("chunk")
@@ -106,7 +115,7 @@ def proposed(phrases: DataFrame) -> Proposed:
     for row in chunks.collect():
         start = (row.bucket - 1) * 4096
         bitmap[start : start + 4096] |= np.frombuffer(row.chunk, np.uint8)[: len(bitmap) - start]
-    return Proposed(bits, phrases.sparkSession.sparkContext.broadcast(bitmap))
+    return Proposed(bits, hashes.sparkSession.sparkContext.broadcast(bitmap))
 
 
 def _word_keys(batch: pa.RecordBatch):
@@ -151,20 +160,99 @@ def _lowered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array
     ).cast(pa.string())
 
 
+def _longer(keys, joined, inverse, unique, longest, known, before=(), among=None):
+    """(size, words, hashes, counts, new) of a slice's phrases of two words or more whose two parts are known.
+
+    ``new`` are those that no pass with a proposal of ``before`` has counted. ``among`` has all frequent ones;
+    others, and what is longer than these, are left out.
+    """
+    # place: where phrases of the size start; ident: a number for each phrase there;
+    # reached: by phrase, whether the pass with that proposal counts it.
+    place, ident, words = np.arange(len(keys)), inverse, [unique]
+    reached, hashes = [np.ones(len(unique), bool) for _ in (known, *before)], fold([unique])
+    for size in range(2, longest + 1):
+        inside = [p.has(hashes) & r for p, r in zip((known, *before), reached, strict=True)]
+        full = np.full(len(keys) + 1, -1)
+        full[place] = ident
+        now = place[joined[place + size - 2]]
+        now = now[full[now + 1] >= 0]
+        left, right = full[now], full[now + 1]
+        both = inside[0][left] & inside[0][right]
+        now, left, right = now[both], left[both], right[both]
+        pair = left * len(words[0]) + right
+        found, at, ident, n = np.unique(
+            pair, return_index=True, return_inverse=True, return_counts=True
+        )
+        place = now
+        reached = [p[left[at]] & p[right[at]] for p in inside]
+        words = [keys[now[at] + k] for k in range(size)]
+        hashes = fold(words)
+        if among is not None:
+            reached[0] &= among.has(hashes)
+        yield size, words, hashes, n, reached[0] & ~np.logical_or.reduce([np.zeros(len(n), bool), *reached[1:]])
+
+
+def screened(texts: DataFrame, known: Proposed, least: int = LEAST) -> Proposed:
+    """All phrases of two words or more that are frequent and whose two parts are known, and a few others.
+
+    Tasks send the number of phrases of each 32-bit hash, up to ``least``; phrases with a hash of fewer are rare.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind, step = np.min_scalar_type(least), -(-(1 << 32) // parts)
+
+    def packed(held: list) -> pa.RecordBatch:
+        at, which = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        n = np.bincount(which, np.concatenate([n for _, n in held]))
+        n = np.minimum(n, least).astype(kind)
+        part, first = np.unique(at // np.uint32(step) if parts > 1 else np.zeros_like(at), return_index=True)
+        bounds = np.append(first, len(at))
+        columns = [
+            pa.array([x[i:j].tobytes() for i, j in zip(bounds, bounds[1:], strict=False)], pa.binary()) for x in (at, n)
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *columns], ["part", "hashes", "counts"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in tb.sliced(batches):
+            _, _, _, keys, joined, _, _ = _word_keys(batch)
+            unique, inverse = np.unique(keys, return_inverse=True)
+            for _, _, hashes, n, _ in _longer(keys, joined, inverse, unique, LONGEST, known):
+                held.append((hashes.astype(np.uint32), n))
+            if sum(len(h) for h, _ in held) > HELD:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
+
+    def reach(table: pa.Table) -> pa.Table:
+        at, n = (
+            np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (("hashes", np.uint32), ("counts", kind))
+        )
+        order = np.argsort(at)
+        at, n = at[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else order
+        often = np.add.reduceat(n, first) >= least if len(at) else order
+        return pa.table({"at": at[first[often]].astype(np.int64)})
+
+    sent = texts.mapInArrow(send, "part int, hashes binary, counts binary")
+    found = written(sent.groupBy("part").applyInArrow(reach, "at bigint"), "open")
+    return bitmap_of(found, found.count())
+
+
 def count_phrases(
     texts: DataFrame,
     sizes: range,
     known: Proposed | None = None,
     counted: list[Proposed] | None = None,
     least: int = LEAST,
+    among: Proposed | None = None,
 ) -> DataFrame:
     """Exact counts, of at least ``least``, of the phrases of these sizes whose two parts are known.
 
-    Phrases that a pass with one of the proposals ``counted`` has counted are left out. Words need
-    no parts and come with their language and text. A row without a word has the number of all
-    words of a language.
+    Phrases that a pass with one of the proposals ``counted`` has counted are left out, and those that aren't
+    in ``among``, which has all frequent ones. Words need no parts and come with their language and text. A
+    row without a word has the number of all words of a language.
     """
-    before = counted or []
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tb.sliced(batches):
@@ -181,29 +269,10 @@ def count_phrases(
                 yield _counted([np.zeros(len(names), np.uint64)], per_lang, pa.array(names, pa.string()))
             if sizes[-1] == 1:
                 continue
-            # place: where phrases of the size start; ident: a number for each phrase there;
-            # reached: by phrase, whether the pass with that proposal counts it.
-            place, ident, words = np.arange(len(keys)), inverse, [unique]
-            reached = [np.ones(len(unique), bool) for _ in (known, *before)]
-            for size in range(2, sizes[-1] + 1):
-                hashes = fold(words)
-                inside = [p.has(hashes) & r for p, r in zip((known, *before), reached, strict=True)]
-                full = np.full(len(keys) + 1, -1)
-                full[place] = ident
-                now = place[joined[place + size - 2]]
-                now = now[full[now + 1] >= 0]
-                left, right = full[now], full[now + 1]
-                both = inside[0][left] & inside[0][right]
-                now, left, right = now[both], left[both], right[both]
-                pair = left * len(words[0]) + right
-                found, at, ident, n = np.unique(
-                    pair, return_index=True, return_inverse=True, return_counts=True
-                )
-                place = now
-                reached = [p[left[at]] & p[right[at]] for p in inside]
-                words = [keys[now[at] + k] for k in range(size)]
+            for size, words, _, n, new in _longer(
+                keys, joined, inverse, unique, sizes[-1], known, counted or [], among
+            ):
                 if size in sizes:
-                    new = ~np.logical_or.reduce([np.zeros(len(n), bool), *reached[1:]])
                     yield _counted([w[new] for w in words], n[new])
 
     rows = texts.mapInArrow(count, COUNTED)
@@ -246,7 +315,8 @@ def frequent_phrases(
     texts = _texts(documents)
     guess = sampled(texts, one_in, sample_least)
     known = proposed(guess)
-    found = written(count_phrases(texts, range(1, LONGEST + 1), known, least=least), "phrases")
+    often = screened(texts, known, least)
+    found = written(count_phrases(texts, range(1, LONGEST + 1), known, least=least, among=often), "phrases")
     fresh = _phrases(found).join(guess, KEYS, "left_anti")
     passes = [known]
     while not fresh.filter(size_of() < LONGEST).isEmpty():

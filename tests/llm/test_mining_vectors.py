@@ -7,6 +7,7 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martkeeper.llm import grid_join, phrases, registry, whitening
@@ -101,6 +102,36 @@ def test_border_failures_are_counted_in_further_passes(spark, monkeypatch):
     assert full == [range(1, 5)] + [range(2, 5)] * 3
 
 
+@pytest.mark.parametrize("held", [1, 1 << 22])
+def test_rare_phrases_are_not_sent_as_rows(spark, monkeypatch, held):
+    monkeypatch.setattr(phrases, "HELD", held)
+    sent = []
+    counted = phrases._counted
+
+    def spied(words, n, *rest):
+        sent.append((len(words), len(n)))
+        return counted(words, n, *rest)
+
+    rng = random.Random(41)
+    rows = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(50)) + " . new york city", "en") for i in range(60)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = sorted(map(tuple, phrases.collocations(df, 40, 20, 1, 1).collect()))
+    assert got == brute_phrases(rows, 20, 40) and any(r[2] == "new york city" for r in got)
+    monkeypatch.setattr(phrases, "_counted", spied)
+    texts = phrases._texts(spark.createDataFrame(rows, DOCS)).collect()
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in texts])
+    known = phrases.proposed(phrases.sampled(phrases._texts(df), 1, 1))
+    often = phrases.screened(phrases._texts(df), known, 20)
+
+    class Frame:  # runs the counting here
+        def mapInArrow(self, run, _):
+            list(run(iter([batch])))
+            return phrases.count_phrases(phrases._texts(df), range(1, 2))
+
+    phrases.count_phrases(Frame(), range(1, 5), known, least=20, among=often)
+    assert 0 < sum(n for size, n in sent if size > 1) < 20
+
+
 def test_phrases_ignore_other_columns_and_empty_tables(spark):
     df = spark.createDataFrame([], DOCS)
     assert phrases.collocations(df).count() == 0
