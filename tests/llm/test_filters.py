@@ -360,3 +360,52 @@ def test_rounds_give_the_buckets_of_all_keys(spark, rounds):
     want = {(r.key, r.line) for r in line_dedup.buckets(lines).collect()}
     got = [(r.key, r.line) for k in range(rounds) for r in line_dedup.buckets(lines, 10, k, rounds).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 60
+
+
+def test_windows_at_other_places_are_no_common_key(spark):
+    rng = random.Random(37)
+    passage = _random_line(rng, 60)
+    rows = [(i, t, "s") for i, t in enumerate([passage + _random_line(rng, 140), _random_line(rng, 140) + passage])]
+    assert line_dedup.buckets(line_dedup.line_sketch(docs(spark, rows))).count() == 0
+
+
+def test_lines_with_a_fitting_one_stay_in_their_bucket():
+    import numpy as np
+
+    rng = np.random.default_rng(41)
+    keys, chars = rng.integers(0, 3, 900), rng.integers(30, 900, 900)
+    places = np.where(rng.random(900) < 0.01, line_dedup.ANY, rng.integers(0, chars))
+    size = np.sort(keys.astype(np.uint64) << np.uint64(32) | chars.astype(np.uint64))
+    keys, chars = (size >> np.uint64(32)).astype(int), (size & np.uint64(2**32 - 1)).astype(int)
+    for edit in (0, 10, 30):
+        x, y = np.triu_indices(900, 1)
+        limit = chars[y] * edit // 100
+        fits = (keys[x] == keys[y]) & (chars[y] - chars[x] <= limit)
+        fits &= line_dedup.at_places(places[x], places[y], chars[x], chars[y], limit)
+        got = line_dedup._fitting(size, places, edit)
+        assert got[x[fits]].all() and got[y[fits]].all()
+        assert edit != 10 or not line_dedup._fitting(size[:300:9], places[:300:9], edit).all()
+
+
+def test_a_pair_with_many_common_keys_is_looked_at_once(spark, monkeypatch):
+    seen = []
+    pairs_of = line_dedup.bucket_pairs
+
+    def spied(*args, **more):
+        pairs = pairs_of(*args, **more)
+        seen.extend((r.a, r.b) for r in pairs.collect())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "bucket_pairs", spied)
+    rng = random.Random(43)
+    passage = _random_line(rng, 300)
+    rows = [(i, passage + _random_line(rng, 55), "s") for i in range(24)]  # 11 to 15 % apart
+    rows += [(24 + i, _edited(rng, t, 3), "s") for i, t, _ in rows[:6]]
+    alike = {(j, i) for i, x, _ in rows for j, y, _ in rows[:i] if line_dedup.within(x, y, 35)}
+    group = {i: i for i, *_ in rows}
+    for _ in rows:
+        for j, i in alike:
+            group[i] = group[j] = min(group[i], group[j])
+    gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
+    assert gone == {i for i in group if group[i] != i} and len(gone) >= 6
+    assert len(seen) > 20 and len(seen) == len(set(seen))
