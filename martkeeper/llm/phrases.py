@@ -5,7 +5,7 @@ without its last and without its first word are. A sample of the documents is mi
 with a lowered limit and proposes a set of phrases. Two passes over all documents then count the
 proposed phrases and their negative border exactly: the border are the phrases whose two parts are
 proposed, though they aren't themselves, and a word always. Most of them are rare, so the first pass
-adds up the phrases by 32 bits of their hash (Park, Chen and Yu, 1995), which shuffles five bytes for
+adds up words and phrases by 32 bits of their hash (Park, Chen and Yu, 1995), which shuffles five bytes for
 each, and the second counts those whose sum reaches the limit. If a border phrase turns out frequent,
 the proposals were too few; a further pass counts the phrases whose parts are frequent and that no
 pass has counted, until no such phrase is frequent. The result is exact, whatever the sample; the
@@ -68,7 +68,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 def fold(words: list[np.ndarray]) -> np.ndarray:
     """A 64-bit hash of each phrase, from the hashes of its words; absent words aren't given."""
-    total = np.full(len(words[0]), len(words), np.uint64)
+    total = np.ones(len(words[0]), np.uint64)
     for w in words:
         total = tb.mix(total * FOLD + w)
     return total
@@ -160,40 +160,43 @@ def _lowered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array
     ).cast(pa.string())
 
 
-def _longer(keys, joined, inverse, unique, longest, known, before=(), among=None):
-    """(size, words, hashes, counts, new) of a slice's phrases of two words or more whose two parts are known.
+def _longer(keys, joined, longest, known, before=(), among=None):
+    """(size, starts, hashes, new): where a slice's phrases of two words or more start whose two parts are known.
 
     ``new`` are those that no pass with a proposal of ``before`` has counted. ``among`` has all frequent ones;
     others, and what is longer than these, are left out.
     """
-    # place: where phrases of the size start; ident: a number for each phrase there;
-    # reached: by phrase, whether the pass with that proposal counts it.
-    place, ident, words = np.arange(len(keys)), inverse, [unique]
-    reached, hashes = [np.ones(len(unique), bool) for _ in (known, *before)], fold([unique])
+    # reached: whether the pass with that proposal counts the phrase of the size that starts there.
+    starts, hashes = np.arange(len(keys)), fold([keys])
+    reached = [np.ones(len(keys), bool) for _ in (known, *before)]
     for size in range(2, longest + 1):
-        inside = [p.has(hashes) & r for p, r in zip((known, *before), reached, strict=True)]
-        full = np.full(len(keys) + 1, -1)
-        full[place] = ident
-        now = place[joined[place + size - 2]]
-        now = now[full[now + 1] >= 0]
-        left, right = full[now], full[now + 1]
-        both = inside[0][left] & inside[0][right]
-        now, left, right = now[both], left[both], right[both]
-        pair = left * len(words[0]) + right
-        found, at, ident, n = np.unique(
-            pair, return_index=True, return_inverse=True, return_counts=True
-        )
-        place = now
-        reached = [p[left[at]] & p[right[at]] for p in inside]
-        words = [keys[now[at] + k] for k in range(size)]
-        hashes = fold(words)
+        parts = []
+        for p, r in zip((known, *before), reached, strict=True):
+            inside = np.zeros(len(keys) + 1, bool)
+            inside[starts] = r & p.has(hashes)
+            parts.append(inside)
+        both = parts[0][starts] & parts[0][starts + 1] & joined[starts + size - 2]
+        starts = starts[both]
+        hashes = tb.mix(hashes[both] * FOLD + keys[starts + size - 1])
+        reached = [p[starts] & p[starts + 1] for p in parts]
         if among is not None:
             reached[0] &= among.has(hashes)
-        yield size, words, hashes, n, reached[0] & ~np.logical_or.reduce([np.zeros(len(n), bool), *reached[1:]])
+        yield size, starts, hashes, reached[0] & ~np.logical_or.reduce([np.zeros(len(starts), bool), *reached[1:]])
+
+
+def _distinct(keys: np.ndarray, size: int, starts: np.ndarray, hashes: np.ndarray):
+    """(words, n) of the phrases of a size that start there: each one's words and number."""
+    order = np.argsort(hashes)
+    words = [keys[starts[order] + k] for k in range(size)]
+    other = np.zeros(max(len(starts) - 1, 0), bool)
+    for w in words:
+        other |= w[1:] != w[:-1]
+    first = np.flatnonzero(np.append(True, other)) if len(starts) else order
+    return [w[first] for w in words], np.diff(np.append(first, len(starts)))
 
 
 def screened(texts: DataFrame, known: Proposed, least: int = LEAST) -> Proposed:
-    """All phrases of two words or more that are frequent and whose two parts are known, and a few others.
+    """All frequent words, and all frequent phrases whose two parts are known, and a few others.
 
     Tasks send the number of phrases of each 32-bit hash, up to ``least``; phrases with a hash of fewer are rare.
     """
@@ -201,9 +204,11 @@ def screened(texts: DataFrame, known: Proposed, least: int = LEAST) -> Proposed:
     kind, step = np.min_scalar_type(least), -(-(1 << 32) // parts)
 
     def packed(held: list) -> pa.RecordBatch:
-        at, which = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-        n = np.bincount(which, np.concatenate([n for _, n in held]))
-        n = np.minimum(n, least).astype(kind)
+        at = np.concatenate(held)
+        at.sort()
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.empty(0, int)
+        n = np.minimum(np.diff(np.append(first, len(at))), least).astype(kind)
+        at = at[first]
         part, first = np.unique(at // np.uint32(step) if parts > 1 else np.zeros_like(at), return_index=True)
         bounds = np.append(first, len(at))
         columns = [
@@ -215,10 +220,9 @@ def screened(texts: DataFrame, known: Proposed, least: int = LEAST) -> Proposed:
         held = []
         for batch in tb.sliced(batches):
             _, _, _, keys, joined, _, _ = _word_keys(batch)
-            unique, inverse = np.unique(keys, return_inverse=True)
-            for _, _, hashes, n, _ in _longer(keys, joined, inverse, unique, LONGEST, known):
-                held.append((hashes.astype(np.uint32), n))
-            if sum(len(h) for h, _ in held) > HELD:
+            held.append(fold([keys]).astype(np.uint32))
+            held += [hashes.astype(np.uint32) for _, _, hashes, _ in _longer(keys, joined, LONGEST, known)]
+            if sum(map(len, held)) > HELD:
                 yield packed(held)
                 held = []
         if held:
@@ -250,8 +254,8 @@ def count_phrases(
     """Exact counts, of at least ``least``, of the phrases of these sizes whose two parts are known.
 
     Phrases that a pass with one of the proposals ``counted`` has counted are left out, and those that aren't
-    in ``among``, which has all frequent ones. Words need no parts and come with their language and text. A
-    row without a word has the number of all words of a language.
+    in ``among``, which has all frequent ones, words too. Words need no parts and come with their language and
+    text. A row without a word has the number of all words of a language.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,21 +263,19 @@ def count_phrases(
             data, starts, ends, keys, joined, code, names = _word_keys(batch)
             if not len(starts):
                 continue
-            unique, first, inverse, n = np.unique(
-                keys, return_index=True, return_inverse=True, return_counts=True
-            )
             if 1 in sizes:
+                at = np.arange(len(keys)) if among is None else np.flatnonzero(among.has(fold([keys])))
+                unique, first, n = np.unique(keys[at], return_index=True, return_counts=True)
+                first = at[first]
                 lang = pa.DictionaryArray.from_arrays(pa.array(code[first]), names).cast(pa.string())
                 yield _counted([unique], n, lang, _lowered(data, starts[first], ends[first]))
                 per_lang = np.bincount(code, minlength=len(names))
                 yield _counted([np.zeros(len(names), np.uint64)], per_lang, pa.array(names, pa.string()))
             if sizes[-1] == 1:
                 continue
-            for size, words, _, n, new in _longer(
-                keys, joined, inverse, unique, sizes[-1], known, counted or [], among
-            ):
+            for size, at, hashes, new in _longer(keys, joined, sizes[-1], known, counted or [], among):
                 if size in sizes:
-                    yield _counted([w[new] for w in words], n[new])
+                    yield _counted(*_distinct(keys, size, at[new], hashes[new]))
 
     rows = texts.mapInArrow(count, COUNTED)
     totals = rows.groupBy(*KEYS, "lang", "text").agg(F.sum("n").alias("n"))

@@ -132,6 +132,24 @@ def test_rare_phrases_are_not_sent_as_rows(spark, monkeypatch, held):
     assert 0 < sum(n for size, n in sent if size > 1) < 20
 
 
+def test_rare_words_are_not_sent_as_rows(spark):
+    rows = [(i, f"new york w{i} x{i} y{i}", "en") for i in range(60)]
+    df = spark.createDataFrame(rows, DOCS)
+    texts = phrases._texts(df)
+    often = phrases.screened(texts, phrases.proposed(phrases.sampled(texts, 1, 1)), 20)
+    sent = []
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in texts.collect()])
+
+    class Frame:  # runs the counting here
+        def mapInArrow(self, run, _):
+            sent.extend(r for b in run(iter([batch])) for r in b.to_pylist())
+            return phrases.count_phrases(texts, range(1, 2))
+
+    phrases.count_phrases(Frame(), range(1, 2), least=20, among=often)
+    assert {r["text"]: r["n"] for r in sent if r["text"]} == {"new": 60, "york": 60}
+    assert [r["n"] for r in sent if not r["w1"]] == [300]
+
+
 def test_phrases_ignore_other_columns_and_empty_tables(spark):
     df = spark.createDataFrame([], DOCS)
     assert phrases.collocations(df).count() == 0
