@@ -409,3 +409,39 @@ def test_a_pair_with_many_common_keys_is_looked_at_once(spark, monkeypatch):
     gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
     assert gone == {i for i in group if group[i] != i} and len(gone) >= 6
     assert len(seen) > 20 and len(seen) == len(set(seen))
+
+
+def test_many_pairs_within_their_limits():
+    rng = random.Random(47)
+    x, y, limits = [], [], []
+    for size in [30] * 900 + [400] * 60 + [5_000] * 2:
+        line = [rng.choice("abé日 ") for _ in range(rng.randrange(size))]
+        other = list(line)
+        for _ in range(rng.randrange(0, 1 + size // 8)):
+            k = rng.randrange(len(other) + 1)
+            other[k : k + rng.randrange(0, 3)] = rng.choice(["", "a", "bb", "😀"])
+        x.append("".join(line))
+        y.append("".join(other))
+        limits.append(rng.choice([0, 1, 2, 5, size // 10, size // 6]))
+    want = [line_dedup.within(*pair) for pair in zip(x, y, limits, strict=True)]
+    assert line_dedup.within_all(x, y, limits) == want and 100 < sum(want) < 860
+    assert line_dedup.within_all([], [], []) == []
+
+
+def test_lines_meet_the_middle_of_their_group_first(spark, monkeypatch):
+    """Forty lines of equal length, alike to one line only, the nearest to most by SimHash: few pairs are left for later."""
+    late = []
+    pairs_of = line_dedup.bucket_pairs
+
+    def spied(*args, **more):
+        pairs = pairs_of(*args, **more)
+        late.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "bucket_pairs", spied)
+    rng = random.Random(53)
+    middle = _random_line(rng, 300)
+    lines = [_edited(rng, middle, 24) for _ in range(40)] + [middle]
+    assert not any(line_dedup.within(x, y, 30) for x in lines[:40] for y in lines[:40] if x != y)
+    gone = {r.doc_id for r in line_dedup.deduped(docs(spark, [(i, t, "s") for i, t in enumerate(lines)])).collect() if r.removed_lines}
+    assert gone == set(range(1, 41)) and sum(late) < 820 // 2
