@@ -273,6 +273,16 @@ def test_scores_of_rows_without_an_id(spark):
         lm_scoring.score(docs(spark, rows), path, order=5)
 
 
+def test_the_score_query_takes_three_tokens(spark, tmp_path):
+    rows = [(1, "one two three"), (2, "four two three"), (3, "one two")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in registry.op6_lm_scores(spark, str(tmp_path)).collect()}
+    # "three" after "one two" is in no other document, but it is after "two".
+    assert (got[1].n_tokens, got[1].backed_off) == (3, 1)
+    marks = [round(1e6 * math.log(x)) for x in (1 / 5, 1 / 1, 0.4 * 1 / 1)]
+    assert got[1].log_score == pytest.approx(sum(marks) / 1e6)
+
+
 def test_the_pipeline_keeps_clean_documents(spark, tmp_path):
     rng = random.Random(12)
     clean = [(i, sentence(rng, 60) + "\n" + sentence(rng, 40)) for i in range(30)]
