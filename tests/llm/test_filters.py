@@ -445,3 +445,23 @@ def test_lines_meet_the_middle_of_their_group_first(spark, monkeypatch):
     assert not any(line_dedup.within(x, y, 30) for x in lines[:40] for y in lines[:40] if x != y)
     gone = {r.doc_id for r in line_dedup.deduped(docs(spark, [(i, t, "s") for i, t in enumerate(lines)])).collect() if r.removed_lines}
     assert gone == set(range(1, 41)) and sum(late) < 820 // 2
+
+
+def test_texts_are_sent_for_pairs_that_letters_leave(spark, monkeypatch, tmp_path):
+    """Long lines that share a passage and are of other letters else are told apart without their texts; the table of
+    keys goes when all keys have met."""
+    rng = random.Random(59)
+    passage, letters = _random_line(rng, 120), "abcdefghijklmnopqrst"
+    lines = [passage + " " + "".join(rng.choice(letters[i : i + 2]) for _ in range(150)) for i in range(0, 20, 2)]
+    rows = [(i, t, "s") for i, t in enumerate(lines + [_edited(rng, lines[3], 4)])]
+    compared = []
+    alike = line_dedup.similar
+    monkeypatch.setattr(line_dedup, "similar", lambda pairs, *a: compared.append(pairs.count()) or alike(pairs, *a))
+    old = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        gone = {r.doc_id for r in line_dedup.deduped(docs(spark, rows)).collect() if r.removed_lines}
+    finally:
+        spark.conf.set("spark.checkpoint.dir", old) if old else spark.conf.unset("spark.checkpoint.dir")
+    assert gone == {10} and sum(compared) == 1
+    assert not list(tmp_path.glob("lines-*")) and list(tmp_path.glob("near-*"))
